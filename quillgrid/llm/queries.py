@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from quillgrid.llm import chat, media, quality_rules, url_filters
+from quillgrid.llm import chat, language, media, pieces, quality_model, quality_rules, toxicity, url_filters
 from quillgrid.llm.common import read
 
 
+def op1_sentencepiece(spark, sf_dir):
+    return pieces.round_trip_digest(pieces.sentencepiece_round_trip(read(spark, sf_dir, "documents")))
+
+
 def op2_media_columns(spark, sf_dir):
     return media.media_digest(read(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark, sf_dir):
+    return language.language_predictions(read(spark, sf_dir, "documents"))
+
+
 def op5_chat_formatting(spark, sf_dir):
     return chat.chat_digest(chat.format_chats(chat.with_conflict(read(spark, sf_dir, "conversations"))))
 
@@ -22,7 +30,18 @@ def op7_quality_rules(spark, sf_dir):
     return quality_rules.quality_verdicts(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_media_columns, op5_chat_formatting, op6_url_filters, op7_quality_rules)}
+def op9_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op10_quality_classifier(spark, sf_dir):
+    return quality_model.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_sentencepiece, op2_media_columns, op3_language_id, op5_chat_formatting, op6_url_filters, op7_quality_rules, op9_toxicity, op10_quality_classifier)
+}
 
 ORACLES = {
     "op5_chat_formatting": r"""
