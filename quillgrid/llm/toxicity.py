@@ -22,7 +22,7 @@ from quillgrid.llm.scan import NOT_WORD, parts, scan
 #: Examples per class, terms in the vocabulary, neighbours, examples per block.
 EXAMPLES, TERMS, NEAREST, BLOCK = 3000, 4096, 15, 64
 #: A term must depend on the label (chi-square), occur in so many examples, and be so many times as frequent in one class as in the other.
-MIN_CHI2, MIN_EXAMPLES, MIN_RATIO = 15.0, 3, 8.0
+MIN_CHI2, MIN_EXAMPLES, MIN_RATIO = 35.0, 5, 30.0
 BEGINNINGS = (4, 6)
 SCHEMA = "doc_id bigint, score double, predicted int, evidence array<bigint>, similarity array<float>"
 
