@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillgrid.llm import chat, language, media, pieces, quality_model, quality_rules, toxicity, url_filters
+from quillgrid.llm import chat, jaccard, language, media, pieces, quality_model, quality_rules, toxicity, url_filters
 from quillgrid.llm.common import read
 
 
@@ -18,6 +18,10 @@ def op3_language_id(spark, sf_dir):
     return language.language_predictions(read(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard(spark, sf_dir):
+    return jaccard.ngram_components(read(spark, sf_dir, "documents"))
+
+
 def op5_chat_formatting(spark, sf_dir):
     return chat.chat_digest(chat.format_chats(chat.with_conflict(read(spark, sf_dir, "conversations"))))
 
@@ -40,7 +44,7 @@ def op10_quality_classifier(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_sentencepiece, op2_media_columns, op3_language_id, op5_chat_formatting, op6_url_filters, op7_quality_rules, op9_toxicity, op10_quality_classifier)
+    for f in (op1_sentencepiece, op2_media_columns, op3_language_id, op4_ngram_jaccard, op5_chat_formatting, op6_url_filters, op7_quality_rules, op9_toxicity, op10_quality_classifier)
 }
 
 ORACLES = {
