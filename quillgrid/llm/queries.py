@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillgrid.llm import chat, jaccard, language, media, pieces, quality_model, quality_rules, toxicity, url_filters
+from quillgrid.llm import chat, jaccard, language, media, mixing, pieces, quality_model, quality_rules, toxicity, url_filters
 from quillgrid.llm.common import read
 
 
@@ -34,6 +34,10 @@ def op7_quality_rules(spark, sf_dir):
     return quality_rules.quality_verdicts(read(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark, sf_dir):
+    return mixing.mixture(read(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -44,7 +48,7 @@ def op10_quality_classifier(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_sentencepiece, op2_media_columns, op3_language_id, op4_ngram_jaccard, op5_chat_formatting, op6_url_filters, op7_quality_rules, op9_toxicity, op10_quality_classifier)
+    for f in (op1_sentencepiece, op2_media_columns, op3_language_id, op4_ngram_jaccard, op5_chat_formatting, op6_url_filters, op7_quality_rules, op8_mixing, op9_toxicity, op10_quality_classifier)
 }
 
 ORACLES = {
