@@ -132,7 +132,9 @@ def quality_filter(docs: DataFrame, rules: Sequence[Rule] = BASE + RULES, key: s
     ordered = order_rules(docs, rules, text=text)
     packed = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), F.lit(0).alias("doc_id"), docs[text].cast("string").alias("text"))
     measured = _measures(packed)
-    return measured.where(cascade(measured, ordered).isNull()).select("row.*")
+    judged = measured.select("row", cascade(measured, ordered).alias("rejected"))
+    # an explode instead of a filter: a filter would be pushed below the measures, with the words split anew at each mention
+    return judged.select(F.explode(F.when(F.col("rejected").isNull(), F.array("row"))).alias("row")).select("row.*")
 
 
 def quality_verdicts(docs: DataFrame, rules: Sequence[Rule] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
