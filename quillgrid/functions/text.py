@@ -1,6 +1,7 @@
 """Text cleansing, normalising and matching, as Column functions (no Python at run time)."""
 
 from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -94,6 +95,16 @@ def truthy(text: Column) -> Column:
     return F.lower(F.trim(text)).isin("y", "yes", "t", "true", "on", "1")
 
 
+@lru_cache(maxsize=4096)
+def _patterns(full: str) -> dict[int, tuple[str, ...]]:
+    """Distinct substrings of `full` by power-of-two length."""
+    n, out, size = len(full), {}, 1
+    while size <= n:
+        out[size] = tuple({full[i : i + size] for i in range(n - size + 1)})
+        size *= 2
+    return out
+
+
 def contain_score(target: str | None, full: str | None) -> float:
     """How much of `full` lies in `target`, spaces ignored; keys of fewer than two characters score 0.
 
@@ -107,15 +118,14 @@ def contain_score(target: str | None, full: str | None) -> float:
     p = (n - 1).bit_length()
     top = p * (p + 1) / 2
     seen, weight = Counter(), Counter()
-    size = 1
-    while size <= n:
-        for part in {full[i : i + size] for i in range(n - size + 1)}:
-            at = target.find(part)
-            while at >= 0:
+    for size, patterns in _patterns(full).items():
+        wanted, last = set(patterns), {}
+        for at in range(len(target) - size + 1):
+            part = target[at : at + size]
+            if part in wanted and last.get(part, -size) + size <= at:
+                last[part] = at
                 seen[at] += 1
                 weight[at] += p - (size.bit_length() - 1)
-                at = target.find(part, at + size)
-        size *= 2
     match = sum(min(g * (1 - (1 - g / p) ** (count + 1)), g) / top for g, count in Counter(seen.values()).items())
     density, scale = 0.0, n * top - (top - p - 1) * (p - 1)
     if len(target) >= n and scale:

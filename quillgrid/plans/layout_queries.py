@@ -203,7 +203,7 @@ def first_seen_dedup(spark, sf_dir):
 @query()
 def page_merge_fold(spark, sf_dir):
     c = read(spark, sf_dir, "conversations").where("text is not null")
-    pages = c.select("conv_id", "turn", F.array(F.create_map(F.concat("role", (F.col("turn") % 3).cast("string")), F.substring("text", 1, 12))).alias("rows"))
+    pages = c.select("conv_id", "turn", F.array(F.create_map(F.concat("role", (F.col("turn") % 3).cast("string")), F.col("text"))).alias("rows"))
     merged = R.page_merge(pages, ["conv_id"], "turn", "rows")
     return merged.select("conv_id", F.size("rows").alias("n_rows"), F.aggregate(F.transform("rows", F.size), F.lit(0), lambda a, b: a + b).alias("n_cells"))
 

@@ -126,7 +126,7 @@ def paged_list_with_count(spark, sf_dir):
     o = read(spark, sf_dir, "orders").where("o_orderstatus = 'O'")
     total = o.agg(F.count("*").alias("total"))
     rows = L.page(L.order_by(o, ["-o_totalprice", "o_orderkey"], ["o_totalprice", "o_orderkey"]), 2, 20).select("o_orderkey")
-    return rows.join(F.broadcast(total), F.lit(True))  # one row
+    return rows.select("o_orderkey", total.scalar().alias("total"))
 
 
 @query("SELECT o_orderkey, k AS shown FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS k FROM orders) ORDER BY k ASC NULLS LAST, o_orderkey LIMIT 50")
