@@ -8,16 +8,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def assign_keys(df: DataFrame, name: str, order: Sequence[str], start: int = 0, partitions: Sequence[str] = ()) -> DataFrame:
-    """Dense keys after `start`. Without `partitions` the rank is found from counts per sorted range, so no task holds all rows."""
+def assign_keys(df: DataFrame, name: str, order: Sequence[str], start: int = 0, partitions: Sequence[str] = (), rows_per_range: int = 1_000_000) -> DataFrame:
+    """Dense keys after `start` in the given order, or from 1 within each of `partitions`.
+
+    Over many rows the first order column is cut into ranges at literal bounds (values of a sample), so that ranges are ranked in parallel and a
+    recomputed task finds the same ranges.
+    """
     if partitions:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*partitions).orderBy(*order)) + start)
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    counts = ranged.groupBy("_part").count()
-    before = counts.withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
-    # one row per partition
-    local = ranged.join(F.broadcast(before), "_part").withColumn("_k", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    return local.withColumn(name, F.col("_before") + F.col("_k") + start).drop("_part", "_before", "_k")
+    total = df.count()
+    ranges = max(1, min(2000, total // rows_per_range))
+    if ranges == 1:  # at most rows_per_range rows, or twice as many
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)) + start)
+    column = df[order[0]]
+    values = sorted(r[0] for r in df.select(column).where(column.isNotNull()).sample(min(1.0, 20 * ranges / max(total, 1)), 7).limit(50 * ranges).collect())
+    bounds = sorted({values[len(values) * i // ranges] for i in range(1, ranges)}) if values else []
+    # nulls sort first, into range 0
+    place = F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds or [None])), lambda v: v <= column)), F.lit(0))
+    ranged = df.withColumn("_range", F.when(column.isNull(), 0).otherwise(place))
+    before = ranged.groupBy("_range").count()
+    before = before.withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
+    # at most 2000 rows
+    local = ranged.join(F.broadcast(before), "_range").withColumn("_k", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    return local.withColumn(name, F.col("_before") + F.col("_k") + start).drop("_range", "_before", "_k")
 
 
 def child_rows(children: DataFrame, parents: DataFrame, on: Sequence[str], parent_key: str) -> DataFrame:

@@ -115,6 +115,10 @@ def test_dense_keys(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("v")).repartition(5)
     got = sorted((r.v, r.k) for r in load.assign_keys(df, "k", ["v"], 10).collect())
     assert got == [(i, i + 11) for i in range(1000)]
+    got = sorted((r.v, r.k) for r in load.assign_keys(df, "k", ["v"], 10, rows_per_range=90).collect())
+    assert got == [(i, i + 11) for i in range(1000)]
+    nulls = spark.createDataFrame([(None,), ("b",), ("a",), (None,)], "v string")
+    assert sorted(r.k for r in load.assign_keys(nulls, "k", ["v"], rows_per_range=2).collect()) == [1, 2, 3, 4]
 
 
 def test_record_ids(spark):
