@@ -145,3 +145,17 @@ def contain_check(target: Column, full: Column) -> Column:
         return pd.Series([contain_score(t, f) for t, f in zip(target, full)], dtype="float64")
 
     return F.pandas_udf(score, "double")(target, full)
+
+
+#: Codes by the names that documents and detectors use. Fixed values.
+LANGUAGE_CODES = {
+    "ko": "ko", "kor": "ko", "한국어": "ko", "en": "en", "eng": "en", "영어": "en", "ja": "ja", "jpn": "ja", "일본어": "ja", "zh": "zh", "zho": "zh", "chi": "zh", "중국어": "zh",
+    "fr": "fr", "fra": "fr", "프랑스어": "fr", "de": "de", "deu": "de", "독일어": "de", "es": "es", "spa": "es", "스페인어": "es", "ru": "ru", "rus": "ru", "러시아어": "ru",
+    "vi": "vi", "vie": "vi", "베트남어": "vi", "th": "th", "tha": "th", "태국어": "th",
+}
+
+
+def language_code(name: Column) -> Column:
+    """Two-letter code; empty for a language that isn't listed."""
+    codes = F.create_map(*(F.lit(x) for kv in LANGUAGE_CODES.items() for x in kv))
+    return F.coalesce(F.try_element_at(codes, F.lower(F.trim(name))), F.lit(""))

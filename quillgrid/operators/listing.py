@@ -87,3 +87,15 @@ def slot_stats(instances: DataFrame, pools: DataFrame, states: Sequence[str] = (
     used = instances.groupBy("pool").pivot("state", list(states)).agg(F.sum("slots"))
     df = pools.join(used, "pool", "left").na.fill(0, list(states))
     return df.withColumn("open", F.when(F.col("total") >= 0, F.col("total") - F.col("running") - F.col("queued")))
+
+
+def related(df: DataFrame, other: DataFrame, key: str, other_key: str, negate: bool = False) -> DataFrame:
+    """Rows with (or without) a related row."""
+    keys = other.select(F.col(other_key).alias(key)).distinct()
+    return df.join(keys, key, "left_anti" if negate else "left_semi")
+
+
+def excluding(df: DataFrame, pairs: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows whose tuple of keys isn't listed; null-safe."""
+    renamed = pairs.select(*(F.col(c).alias(f"_x_{c}") for c in on)).distinct()
+    return df.join(renamed, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_x_{c}")) for c in on]), "left_anti")
