@@ -9,9 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BYTE_CODES = np.random.Generator(np.random.PCG64(20240501)).integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -30,16 +28,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _powers[0].size < n:
-        size = max(n, 2 * _powers[0].size)
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps)
-    return _powers[0][:n], _powers[1][:n]
-
-
 @dataclass
 class Words:
     """starts and ends in `data`; doc: the text of each word; first: the first word of each text, and the number of words at the end."""
@@ -54,8 +42,7 @@ class Words:
     def hashes(self, ends: np.ndarray | None = None) -> np.ndarray:
         """64-bit hashes of the words, or of what lies between their starts and `ends`."""
         ends = self.ends if ends is None else ends
-        inverse = _power(self.data.size + 1)[1]
-        return mix((self.prefix[ends] - self.prefix[self.starts]) * inverse[self.starts] + (ends - self.starts).astype(np.uint64))
+        return mix(self.prefix[ends] - self.prefix[self.starts] + (ends - self.starts).astype(np.uint64))
 
 
 def scan(texts: list[bytes], gaps: np.ndarray = SPACES, lower: bool = True) -> Words:
@@ -68,8 +55,19 @@ def scan(texts: list[bytes], gaps: np.ndarray = SPACES, lower: bool = True) -> W
     starts, ends = np.nonzero(edge == -1)[0], np.nonzero(edge == 1)[0]
     begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
     first = np.searchsorted(starts, begin)
+    # each byte counts by its code times a power of its place in its word
     prefix = np.zeros(data.size + 1, np.uint64)
-    np.cumsum(_BYTE_CODES[data] * _power(data.size)[0], out=prefix[1:])
+    if starts.size:
+        head = int(starts[0])
+        place = np.arange(data.size - head, dtype=np.int64)
+        place -= np.repeat(starts - head, np.diff(np.append(starts, data.size)))
+        steps = np.full(int((ends - starts).max()), _BASE, np.uint64)
+        steps[0] = 1
+        np.minimum(place, steps.size - 1, out=place)
+        value = _BYTE_CODES[data[head:]]
+        value *= np.cumprod(steps)[place]
+        value[gap[head:]] = 0
+        np.cumsum(value, out=prefix[head + 1 :])
     return Words(data, starts, ends, np.repeat(np.arange(len(texts)), np.diff(first)), first, prefix)
 
 
