@@ -8,12 +8,14 @@
    pairs below the bounds of their sizes are discarded, and what links is reduced to a spanning forest before anything leaves the task.
 4. Forests are joined into components by rounds of neighbour minima with pointer jumping, each kept in the shared folder.
 
-Large blocks are cut into pieces, and each pair of pieces is a task of its own, so no task holds an unbounded group; no pair is emitted
-that does not link, and at most one row per set and task that does.
+In a large block every set is first compared with one of them, which settles a group of copies in linear time; what doesn't link to it is
+cut into pieces, and each pair of pieces is a task of its own, so no task holds an unbounded group. No pair is emitted that does not link, and at
+most one row per set and task that does.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +28,9 @@ from quillgrid.llm.scan import SPACES, mix, parts, scan
 
 WORDS, PERCENT = 5, 80
 #: Shingles that occur in so many of one slice's documents are reported as frequent; at most MAX_FREQUENT are kept (8 bytes each).
-SLICE_MIN, MAX_FREQUENT = 4, 200_000
-#: Sets per piece of a block; shingles of a tile's columns.
-PIECE, COLUMNS = 512, 4096
+SLICE_MIN, MAX_FREQUENT = 3, 200_000
+#: Sets per piece of a block, and their shingles on the mean at most; shingles of a tile's columns.
+PIECE, MEAN, COLUMNS = 512, 2048, 4096
 #: Heads are longer by one shingle in so many, and linked sets then share so many more of them.
 SHARE = 16
 #: Up to so many ids (8 bytes each) are broadcast; beyond, texts and ids meet in a shuffle.
@@ -71,7 +73,7 @@ def set_ids(sets: list[np.ndarray], seed: int) -> tuple[np.ndarray, np.ndarray]:
 def _frequent(words: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for _, texts in parts(batches, 0, rows=4096, size=4_000_000):
+        for _, texts in parts(batches, 0, rows=4096):
             value, n = np.unique(np.concatenate(shingle_sets(texts, words, seed) or [np.zeros(0, np.uint64)]), return_counts=True)
             often = n >= SLICE_MIN
             both, at = np.unique(np.concatenate([hashes, value[often]]), return_inverse=True)
@@ -227,23 +229,70 @@ def _links(rows: DataFrame, docs: DataFrame, words: int, percent: int, seed: int
     met = heads.join(common, "h").groupBy("lead", "sid", "n").agg(F.countDistinct("h").alias("c"))
     met = met.withColumn("k", F.count("*").over(Window.partitionBy("sid")))
     met = met.where(F.expr(f"c * k >= 1 + (({percent} * n + 99) div 100) div {SHARE}"))
-    by_size = Window.partitionBy("lead").orderBy("n", "sid")
-    near = F.expr(f"100 * before >= {percent} * n or 100 * n >= {percent} * after")
-    met = cut(met.withColumn("before", F.lag("n").over(by_size)).withColumn("after", F.lead("n").over(by_size)).where(near).select("lead", "sid", "n"))
-    rank, before = F.row_number().over(by_size) - 1, F.coalesce(F.sum("n").over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    met = met.withColumn("piece", F.floor(rank / PIECE) + F.floor(before / (PIECE * 2048)))
-    pieces = met.groupBy("lead", "piece").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    a, b = pieces.select("lead", F.col("piece").alias("p"), "hi"), pieces.select("lead", F.col("piece").alias("q"), "lo")
-    tasks = a.join(b, "lead").where(f"p <= q and 100 * hi >= {percent} * lo").select("lead", "p", "q")
-    ends = tasks.select("lead", "p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("piece"))
-    members = met.join(ends, ["lead", "piece"]).select("lead", "p", "q", "sid")
-    wanted = cut(met.select("sid").distinct())
-    chosen = rows.where("doc_id is not null").join(_maybe_broadcast(wanted), "sid").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    chosen = _maybe_broadcast(cut(chosen).select("doc_id").distinct())
-    sets = docs.join(chosen, "doc_id").select("text").mapInArrow(_sets(words, seed), "sid bigint, shingles binary")
-    # an id may have several texts: only wanted sets count, once each
-    grouped = members.join(sets.dropDuplicates(["sid"]), "sid").groupBy("lead", "p", "q")
-    return grouped.applyInArrow(_task(percent), "u bigint, v bigint")
+    # size classes so wide that sets which can link are in the same class or in neighbouring ones
+    width = math.log(100 / percent) * 1.0001 if percent < 100 else 1e-4
+    met = cut(met.select("lead", "sid", "n", F.floor(F.log("n") / width).cast("int").alias("b")))
+    classes = met.groupBy("lead", "b").agg(F.count("*").alias("c"), F.sum("n").alias("m"))
+    around = classes.select("lead", F.explode(F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1)).alias("b"), "c").groupBy("lead", "b").agg(F.sum("c").alias("near"))
+    classes = cut(classes.join(around.where("near > 1"), ["lead", "b"]).select("lead", "b", "c", "m"))
+    blocks = classes.groupBy("lead").agg((F.when((F.sum("c") > PIECE) | (F.sum("m") > PIECE * MEAN), True).otherwise(False)).alias("large"))
+    met = cut(met.join(classes.select("lead", "b", F.col("c").alias("peers")), ["lead", "b"]).join(blocks, "lead"))
+    tasks = met.where("not large").select("lead", F.lit("").alias("x"), F.lit("").alias("y"), "sid")
+    load = lambda sids: _load(sids, rows, docs, words, seed)
+    run = lambda members, sets: members.join(sets, "sid").groupBy("lead", "x", "y").applyInArrow(_task(percent), "u bigint, v bigint")
+    large = met.where("large")
+    found = run(tasks, load(tasks))
+    if large.isEmpty():
+        return found
+    sets = table(load(large))
+    linked, rest = _star(large, sets, percent)
+    return found.unionByName(linked).unionByName(run(rest, sets))
+
+
+def _star(large: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links of each large block's members to one of them, and the tasks that remain: pairs of pieces of which at least one holds sets without such a link.
+
+    In a large group of copies nearly all sets link to the chosen one, so its cost grows with its size and not with the square of it.
+    """
+    centre = large.groupBy("lead").agg(F.min(F.struct(-F.col("peers"), F.col("sid")))["sid"].alias("centre"))
+    theirs = centre.join(sets.select(F.col("sid").alias("centre"), F.col("shingles").alias("other")), "centre")
+    both = large.select("lead", "sid").join(sets, "sid").join(theirs, "lead")
+    linked = cut(both.select("lead", "sid", "centre", "shingles", "other").mapInArrow(_compare(percent), "lead bigint, sid bigint, centre bigint"))
+    flagged = large.join(linked.select("lead", "sid", F.lit(0).alias("open")), ["lead", "sid"], "left")
+    flagged = cut(flagged.select("lead", "sid", "n", "b", F.coalesce("open", F.lit(1)).alias("open")))
+    sizes = flagged.groupBy("lead", "b", "open").agg(F.greatest(F.ceil(F.count("*") / PIECE), F.ceil(F.sum("n") / (PIECE * MEAN))).cast("int").alias("pieces"))
+    piece = sizes.select("lead", "b", "open", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("p"))
+    name = F.concat_ws(":", "b", "open", "p")
+    a, z = (piece.select("lead", F.col("b").alias(f"b{s}"), F.col("open").alias(f"open{s}"), name.alias(s)) for s in "xy")
+    pairs = a.where("openx = 1").join(z, "lead").where("abs(bx - by) <= 1 and (openy = 0 or x <= y)").select("lead", "x", "y")
+    ends = pairs.select("lead", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("end"))
+    members = flagged.join(sizes, ["lead", "b", "open"]).select("lead", "sid", F.concat_ws(":", "b", "open", F.pmod(F.xxhash64("sid"), "pieces")).alias("end"))
+    return linked.select(F.col("sid").alias("u"), F.col("centre").alias("v")), members.join(ends, ["lead", "end"]).select("lead", "x", "y", "sid")
+
+
+def _compare(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                both = np.intersect1d(a, b, assume_unique=True).size
+                keep.append(100 * both >= percent * (a.size + b.size - both))
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(3)], names=["lead", "sid", "centre"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _load(wanted: DataFrame, rows: DataFrame, docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """sid and shingles of the sets that `wanted` names, from one document of each."""
+    wanted = cut(wanted.select("sid").distinct())
+    few = wanted.count() <= BROADCAST_IDS
+    hint = F.broadcast if few else (lambda df: df)
+    # one document for each set, so no more than there are sets
+    chosen = rows.where("doc_id is not null").select("sid", "doc_id").join(hint(wanted), "sid").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    chosen = hint(chosen.select("doc_id").distinct())
+    # an id may have several texts: of those too, each set counts once
+    return docs.join(chosen, "doc_id").select("text").mapInArrow(_sets(words, seed), "sid bigint, shingles binary").dropDuplicates(["sid"])
 
 
 def _maybe_broadcast(ids: DataFrame) -> DataFrame:
@@ -272,8 +321,8 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
     """The rows of docs that stay when each component keeps its smallest id; all columns. Rows that repeat an id stay once. Rows with a null id stay."""
     labelled = cut(ngram_components(docs, words=words, percent=percent))
     ids = labelled.where("doc_id is not null").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("d")).first()
-    gone = _maybe_broadcast(cut(labelled.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()))
-    kept = docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    gone = _maybe_broadcast(cut(labelled.where("doc_id <> component_id").select(F.col("doc_id").alias("__quillgrid_gone")).distinct()))
+    kept = docs.join(gone, docs["doc_id"] == F.col("__quillgrid_gone"), "left_anti")
     if ids["n"] == ids["d"]:
         return kept
     return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
