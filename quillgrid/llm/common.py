@@ -45,10 +45,12 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def table(df: DataFrame) -> DataFrame:
-    """Like cut(), as a columnar table: smaller than a checkpoint, and later readers can prune columns."""
+    """Like cut(), as a columnar table: smaller than a checkpoint, and later readers can prune columns. It goes when the application ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 

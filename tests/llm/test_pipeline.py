@@ -27,3 +27,16 @@ def test_stages_do_what_their_operators_decide(spark, tmp_path):
     assert sorted(third[1]) == ids(jaccard.ngram_components(third[2]).where("doc_id = component_id"))
     assert set(fourth[1]) <= set(fourth[0]) and max(map(fourth[1].count, fourth[1])) <= 2
     assert sorted(fifth[1]) == sorted(fifth[0])
+
+
+def test_stages_take_odd_and_empty_tables(spark, odd, empty, tmp_path):
+    for n, docs in enumerate((odd.withColumn("gone_id", odd["doc_id"]).withColumn("row", odd["text"]), empty)):
+        sf = f"{tmp_path}/{n}"
+        labels = [(i, 1, 0) for i in range(9)] if n == 0 else []
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, sf)
+            assert out.columns == docs.columns
+            assert n == 0 or out.count() == 0
+            out.write.format("noop").mode("overwrite").save()
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == docs.count()
