@@ -50,7 +50,7 @@ def shingle_sets(texts: list[bytes], words: int = WORDS, seed: int = 0) -> list[
     n = np.diff(w.first)
     rolled = np.zeros(max(h.size - words + 1, 0), np.uint64)
     for k in range(words):
-        rolled += h[k : h.size - words + 1 + k] * _STEPS[k]
+        rolled += h[k : k + rolled.size] * _STEPS[k]
     rolled = mix(rolled + np.uint64(words + 1000 * seed))
     out = []
     for first, count in zip(w.first[:-1].tolist(), n.tolist()):

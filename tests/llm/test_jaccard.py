@@ -75,6 +75,21 @@ def test_odd_rows(odd, empty):
     assert J.keep_one(empty).count() == 0
 
 
+@pytest.mark.parametrize("words", [1, 2, 3, 5])
+def test_slices_of_few_words(words):
+    """A slice may hold fewer words in all than a shingle has."""
+    for n in range(7):
+        (got,) = J.shingle_sets([b" ".join(b"w%d" % i for i in range(n))], words)
+        assert got.size == (max(n - words + 1, 1) if n else 0)
+    assert J.shingle_sets([b"a b c"])[0].tolist() == J.shingle_sets([b"x y z t u v", b"a b c"])[1].tolist()
+
+
+def test_tables_of_one_short_document(spark):
+    for n in range(1, 7):
+        df = spark.createDataFrame([(5, " ".join("abcdef"[:n]))], "doc_id bigint, text string")
+        assert [tuple(r) for r in J.ngram_components(df).collect()] == [(5, max(n - 4, 1), 5)]
+
+
 def test_chain_of_near_copies_is_one_component(spark):
     """Neighbours link, ends don't: links must not be lost between members of one large group."""
     base = [f"w{i}" for i in range(100)]
