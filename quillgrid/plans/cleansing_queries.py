@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillgrid.functions import text as T
+from quillgrid.functions.containment import all_scores
 from quillgrid.operators.grid import template_row
 from quillgrid.operators.load import dictionary_hits
 from quillgrid.plans.catalogue import query, read
@@ -138,10 +139,10 @@ def key_text_match(spark, sf_dir):
 
 @query()
 def contain_check_score(spark, sf_dir):
-    """Every document against the key text of its layout (a benchmark item, dealt by id), by Arrow batches."""
+    """Every document against every key text (benchmark item), by Arrow batches."""
     keys = read(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("key"))
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.pmod("doc_id", F.lit(max(keys.count(), 1))).alias("item_id"))
-    return docs.join(keys, "item_id").select("doc_id", "item_id", F.round(T.contain_check(F.col("text"), F.col("key")), 6).alias("score"))
+    scores = all_scores(read(spark, sf_dir, "documents").select("doc_id", "text"), keys)
+    return scores.select("doc_id", "item_id", F.round("score", 6).alias("score"))
 
 
 @query(

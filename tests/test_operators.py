@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillgrid.functions import boxes, imaging, text
+from quillgrid.functions import boxes, containment, imaging, text
 from quillgrid.operators import checks, grid, learning, listing, load, mapping, relational, structuring
 from quillgrid.plans.steps import PRESETS, Registry, Step, CLEANSING
 from quillgrid.sources import files, sinks, sql
@@ -55,6 +55,32 @@ def test_contain_score():
     assert text.contain_score("dcba", "abcd") < text.contain_score("abcd", "abcd")
 
 
+@pytest.mark.parametrize("cells", [1, 60, 4_000_000])
+def test_all_scores_of_a_block(monkeypatch, cells):
+    """Tables, lists and cut blocks give what each pair gives on its own; copies that overlap count once."""
+    monkeypatch.setattr(containment, "CELLS", cells)
+    rng = random.Random(cells)
+    for chars in ("ab", "abc ", "abcdefgh é😀"):
+        keys = ["".join(rng.choice(chars) for _ in range(n)) for n in (1, 2, 3, 8, 16, 31, 32, 40)] + [None, ""]
+        block = containment.Keys(keys)
+        for t in [None, "", "aaaaaaaaa", "zz", keys[6] + "zz" + keys[6] * 3, *("".join(rng.choice(chars) for _ in range(rng.randrange(80))) for _ in range(12))]:
+            assert block.scores(t) == pytest.approx([text.contain_score(t, k) for k in keys], abs=1e-12)
+
+
+def test_contain_check_score_is_documents_by_benchmark(spark, tmp_path, monkeypatch):
+    """Null and repeated ids, ids with gaps and several blocks of items: every row meets every item."""
+    from quillgrid.plans.catalogue import QUERIES
+
+    docs = [(1, "the key text and more"), (None, "no id: the key text"), (4, None), (9, "another item"), (9, "another item")]
+    items = [(7, "the key text"), (100, "another item"), (None, "and more"), (7, "")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    monkeypatch.setattr(containment, "KEYS", 3)
+    got = sorted(QUERIES["contain_check_score"](spark, str(tmp_path)).collect(), key=str)
+    want = sorted([(d, i, round(text.contain_score(t, k), 6)) for d, t in docs for i, k in items], key=lambda r: str(r))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_language_and_numbers(spark):
     df = spark.createDataFrame([("안녕 a",), ("abc",), ("12",), ("かな",), ("Привет",)], "t string")
     assert [r[0] for r in df.select(text.script_language(F.col("t"))).collect()] == ["ko", "en", "", "ja", "ru"]
