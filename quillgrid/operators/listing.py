@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillgrid.operators.load import assign_keys
+
 
 def like(column: str, text: str | None) -> Column:
     """Contains, and nothing asked where text is None."""
@@ -65,6 +67,15 @@ def order_by(df: DataFrame, spec: Sequence[str], allowed: Sequence[str], nulls:
     return df.orderBy(*keys)
 
 
+def nulls_last_places(df: DataFrame, name: str, order: Sequence[str], rows_per_range: int = 1_000_000) -> DataFrame:
+    """Every row with its place from 1 in ascending order; rows whose first key is null come last, among themselves by the other keys."""
+    key = df[order[0]]
+    known = df.where(key.isNotNull())
+    first = assign_keys(known, name, order, rows_per_range=rows_per_range)
+    last = assign_keys(df.where(key.isNull()), name, list(order[1:]) or list(order), known.count(), rows_per_range=rows_per_range)
+    return first.unionByName(last).withColumn(name, F.col(name).cast("bigint"))
+
+
 def page(df: DataFrame, number: int, size: int, most: int = 1000) -> DataFrame:
     size = min(size, most)
     return df.offset(number * size).limit(size)

@@ -135,6 +135,16 @@ def nulls_last_sort(spark, sf_dir):
     return L.order_by(o, ["shown", "o_orderkey"], ["shown", "o_orderkey"]).limit(50)
 
 
+@query(
+    """SELECT o_orderkey, k AS shown, row_number() OVER (ORDER BY k ASC NULLS LAST, o_orderkey) AS place
+    FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS k FROM orders)"""
+)
+def nulls_last_sort_all(spark, sf_dir):
+    """Every order with its place, those without a key last; nulls_last_sort is the first page of it."""
+    o = read(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("shown"))
+    return L.nulls_last_places(o, "place", ["shown", "o_orderkey"])
+
+
 @query("SELECT n_nationkey, n_name, CASE n_nationkey WHEN 7 THEN 0 WHEN 3 THEN 1 WHEN 11 THEN 2 END::INT AS place FROM nation WHERE n_nationkey IN (7, 3, 11)")
 def in_list_order(spark, sf_dir):
     return L.in_given_order(read(spark, sf_dir, "nation"), "n_nationkey", [7, 3, 11]).select("n_nationkey", "n_name", F.col("place").cast("int"))

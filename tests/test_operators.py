@@ -55,6 +55,24 @@ def test_contain_score():
     assert text.contain_score("dcba", "abcd") < text.contain_score("abcd", "abcd")
 
 
+@pytest.mark.parametrize("per_range", [1_000_000, 10])
+def test_nulls_last_places(spark, per_range):
+    """Every row has its place, and the rows without a key have the last ones, in one range or in many."""
+    rng = random.Random(per_range)
+    rows = [(i, rng.choice([None, 1.5, -2.0, float(rng.randrange(50))])) for i in range(120)]
+    got = listing.nulls_last_places(spark.createDataFrame(rows, "id bigint, v double"), "place", ["v", "id"], per_range)
+    want = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[0]))
+    assert [r.id for r in sorted(got.collect(), key=lambda r: r.place)] == [i for i, _ in want]
+    assert sorted(r.place for r in got.collect()) == list(range(1, 121))
+
+
+def test_every_order_has_a_place(spark):
+    from quillgrid.plans.catalogue import QUERIES, read
+
+    got = QUERIES["nulls_last_sort_all"](spark, "/root/testdata/sf0.001")
+    assert got.count() == read(spark, "/root/testdata/sf0.001", "orders").count() and got.where("shown is null").count() > 0
+
+
 @pytest.mark.parametrize("cells", [1, 60, 4_000_000])
 def test_all_scores_of_a_block(monkeypatch, cells):
     """Tables, lists and cut blocks give what each pair gives on its own; copies that overlap count once."""
