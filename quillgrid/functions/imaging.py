@@ -5,6 +5,7 @@ An image is a struct (height, width, channels, data). Kernels take and give arra
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -156,8 +157,8 @@ def lines(img: np.ndarray, share: float = 0.05, horizontal: bool = True) -> np.n
     return opening(ink, 1, n) if horizontal else opening(ink, n, 1)
 
 
-def components(mask: np.ndarray, least: int = 1) -> list[tuple[int, int, int, int, int]]:
-    """x, y, w, h, area of 4-connected components with at least `least` pixels, from the top left, by runs of each row."""
+def components(mask: np.ndarray, least: int = 1, corners: bool = False) -> list[tuple[int, int, int, int, int]]:
+    """x, y, w, h, area of 4-connected (with `corners` 8-connected) components with at least `least` pixels, from the top left, by runs of each row."""
     parent: list[int] = []
 
     def find(i):
@@ -174,7 +175,7 @@ def components(mask: np.ndarray, least: int = 1) -> list[tuple[int, int, int, in
             i = len(parent)
             parent.append(i)
             for c, d, j in before:
-                if c < b and a < d:
+                if c < b + corners and a < d + corners:
                     x, z = sorted((find(i), find(j)))
                     parent[z] = x
             now.append((a, b, i))
@@ -187,6 +188,66 @@ def components(mask: np.ndarray, least: int = 1) -> list[tuple[int, int, int, in
     return [(x, y, r - x, b - y, n) for x, y, r, b, n in sorted(out.values(), key=lambda v: (v[1], v[0])) if n >= least]
 
 
+def line_components(img: np.ndarray, least: int = 51) -> list[tuple[int, int, int, int, int]]:
+    """x, y, w, h, area of the 8-connected ruled lines (strokes of a thirtieth of the page) of at least `least` pixels."""
+    ink = threshold(img, otsu(img), inverse=True)
+    across, down = max(1, ink.shape[1] // 30), max(1, ink.shape[0] // 30)
+    return components(np.maximum(opening(ink, 1, across), opening(ink, down, 1)), least, corners=True)
+
+
+def separate_area(img: np.ndarray, area_type: str = "top_left", offset: Sequence[int] | None = None, width: int | None = None, height: int | None = None) -> np.ndarray:
+    """A box cropped from one of nine anchors; -1 reaches to the edge. Without a size, or where nothing is left, the image stays."""
+    if width is None or height is None:
+        return img
+    h, w = img.shape[:2]
+    y0, x0 = {"top": (0, 0), "center": (h // 2, 0), "bottom": (h, 0)}.get(area_type.split("_")[0], (0, 0))
+    x0 = {"left": 0, "center": w // 2, "right": w}.get(area_type.split("_")[-1], 0)
+    if area_type not in {f"{v}_{k}" for v in ("top", "center", "bottom") for k in ("left", "center", "right")} - {"center_center"} | {"center"}:
+        y0, x0 = 0, 0
+    x0, y0 = x0 + (offset or (0, 0))[0], y0 + (offset or (0, 0))[1]
+    x1, y1 = w if width == -1 else min(w, x0 + width), h if height == -1 else min(h, y0 + height)
+    x0, y0 = max(0, x0), max(0, y0)
+    return img if x0 >= x1 or y0 >= y1 else img[y0:y1, x0:x1]
+
+
+def trim_to_lines(img: np.ndarray, line_ratios: Sequence[float] = (0.05, 0.05), padding_ratios: Sequence[float] = (0.01, 0.01, 0.01, 0.01)) -> np.ndarray:
+    """Cropped to the long lines, with padding (top, bottom, left, right) by the content's size, filled with the border's colour where it leaves the page."""
+    ink = dilate(threshold(img, otsu(img), inverse=True))
+    h, w = ink.shape
+    found = np.zeros_like(ink)
+    for kh, kw in ((1, int(w * line_ratios[0])), (int(h * line_ratios[1]), 1)):
+        if max(kh, kw) >= 2:
+            found |= dilate(dilate(erode(erode(ink, kh, kw), kh, kw), kh, kw), kh, kw)
+    ys, xs = np.nonzero(found)
+    # without a line the reference takes one row and one column more than there are
+    y0, y1, x0, x1 = (ys.min(), ys.max() + 1, xs.min(), xs.max() + 1) if ys.size else (0, h + 1, 0, w + 1)
+    top, bottom, left, right = (int(n * r) for n, r in zip((y1 - y0, y1 - y0, x1 - x0, x1 - x0), padding_ratios))
+    y0, y1, x0, x1 = y0 - top, y1 + bottom, x0 - left, x1 + right
+    if y1 <= y0 or x1 <= x0:
+        return img
+    edge = np.concatenate([img[0], img[-1], img[1:-1, 0], img[1:-1, -1]]).reshape(-1, 1 if img.ndim == 2 else img.shape[2])
+    colors, n = np.unique(edge, axis=0, return_counts=True)
+    out = np.empty((y1 - y0, x1 - x0) + img.shape[2:], np.uint8)
+    out[...] = colors[n.argmax()] if img.ndim == 3 else colors[n.argmax()][0]
+    part = img[max(0, y0) : min(h, y1), max(0, x0) : min(w, x1)]
+    out[max(0, -y0) : max(0, -y0) + part.shape[0], max(0, -x0) : max(0, -x0) + part.shape[1]] = part
+    return out
+
+
+def keep_under_mask(img: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """White but where the mask (black on white), centred on the page and widened by an 11 x 11 square, is not white."""
+    new = np.zeros(img.shape[:2], np.uint8)
+    cut, put = [], []
+    for have, want in zip(mask.shape, new.shape):
+        at, to = max(have - want, 0) // 2, max(want - have, 0) // 2
+        cut.append(slice(at, at + min(have, want)))
+        put.append(slice(to, to + min(have, want)))
+    new[tuple(put)] = 255 - gray(mask)[tuple(cut)]
+    out = img.copy()
+    out[dilate(new, 11, 11) == 0] = WHITE
+    return out
+
+
 def split_blank(img: np.ndarray, min_start: int, min_gap: int, axis: int = 1) -> list[tuple[int, int]]:
     """Two spans along an axis, cut in the middle of the first blank run of min_gap that starts after min_start; else one."""
     blank = ~(gray(img) <= 127).any(axis=1 - axis)
@@ -232,7 +293,8 @@ def union_mask(images: Sequence[np.ndarray], least: float = 0.0025) -> np.ndarra
 
 STEPS: dict[str, Callable[..., np.ndarray]] = {
     "gray": gray, "threshold": threshold, "adaptive_threshold": adaptive_threshold, "denoising2": median3, "morphology1": opening, "closing": closing, "thinner": erode,
-    "scale": letterbox, "scale1": letterbox, "scale2": fit, "del_blank_set1": trim_blank, "rotate": rotate, "line_tracking": lines,
+    "scale": letterbox, "scale1": letterbox, "scale2": fit, "del_blank_set1": trim_blank,
+    "del_blank_set2": trim_to_lines, "separate_areas_set1": separate_area, "rotate": rotate, "line_tracking": lines,
     "deskew": lambda img, **p: rotate(img, skew(img, **p)),
 }
 IMAGE = "height int, width int, channels int, data binary"
@@ -244,7 +306,10 @@ def to_array(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
 
 
 def apply_steps(df: DataFrame, steps: Sequence[tuple[str, dict]], keep: Sequence[str] = ()) -> DataFrame:
-    """Runs named steps on every image row (columns of IMAGE), in one pass over Arrow batches. Unknown names are skipped."""
+    """Runs named steps on every image row (columns of IMAGE), in one pass over Arrow batches. Unknown names are skipped with a warning."""
+    for n, _ in steps:
+        if n not in STEPS:
+            warnings.warn(f"unknown step {n}", stacklevel=2)
     chosen = [(STEPS[n], p) for n, p in steps if n in STEPS]
     schema = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep), IMAGE])
 

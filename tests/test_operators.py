@@ -222,6 +222,33 @@ def test_named_queries(spark):
         sql.named(spark.range(1), ["a", "b"])
 
 
+def test_image_steps_of_the_registry(spark):
+    page = np.full((90, 120), 255, np.uint8)
+    page[20:22, 15:100] = page[20:70, 15:17] = 0
+    assert imaging.line_components(page) == [(15, 20, 86, 50, 268)]  # strokes of an even length move by one, as in the reference
+    corner = np.zeros((4, 4), np.uint8)
+    corner[0, 0] = corner[1, 1] = 255
+    assert len(imaging.components(corner)) == 2 and imaging.components(corner, corners=True) == [(0, 0, 2, 2, 2)]
+    area = imaging.STEPS["separate_areas_set1"]
+    assert (area(page, area_type="center", offset=[-5, 2], width=10, height=-1) == page[47:, 55:65]).all()
+    assert (area(page, area_type="bottom_right", offset=[-30, -20], width=99, height=10) == page[70:80, 90:]).all()
+    assert area(page, area_type="top_right", width=5, height=5) is page and area(page) is page
+    assert (area(page, area_type="nowhere", width=7, height=6) == page[:6, :7]).all()
+    trimmed = imaging.STEPS["del_blank_set2"](page, padding_ratios=[0, 0, 0, 0])
+    assert abs(trimmed.shape[0] - 50) <= 5 and abs(trimmed.shape[1] - 85) <= 5 and (trimmed == 0).sum() == (page == 0).sum()
+    padded = imaging.trim_to_lines(page, padding_ratios=[1, 0, 0, 0])
+    assert padded.shape[0] == 2 * trimmed.shape[0] and (padded[: trimmed.shape[0]] == 255).all()
+    assert imaging.trim_to_lines(np.full((50, 60), 9, np.uint8), [0, 0], [0, 0, 0, 0]).shape == (51, 61)
+    mask = np.full((31, 41), 255, np.uint8)
+    mask[15, 20] = 0
+    kept = imaging.keep_under_mask(np.zeros((51, 61, 3), np.uint8), mask)
+    assert (kept[20:31, 25:36] == 0).all() and (kept == 0).sum() == 3 * 121
+    assert (imaging.keep_under_mask(np.zeros((11, 11), np.uint8), mask) == 0).all()
+    df = spark.createDataFrame([(2, 2, 1, bytearray(4))], imaging.IMAGE)
+    with pytest.warns(UserWarning, match="unknown step canny"):
+        imaging.apply_steps(df, [("canny", {})])
+
+
 def test_imaging():
     img = np.full((60, 80), 255, np.uint8)
     img[20, 5:75] = 0
