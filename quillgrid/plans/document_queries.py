@@ -86,8 +86,10 @@ def line_features(spark, sf_dir):
 def spark_ml_classify(spark, sf_dir):
     """Held-out rows of the embeddings with the class that a decision tree predicts."""
     e = read(spark, sf_dir, "embeddings")
-    rows = e.select("vec_id", (F.col("label") % 2).alias("y"), *(F.get("embedding", F.lit(i)).cast("double").alias(f"f{i}") for i in range(6)))
-    return learning.train(rows, [f"f{i}" for i in range(6)], model="dt")[1].select("vec_id", "y", "pred", F.round("confidence", 6).alias("confidence"))
+    width = e.agg(F.max(F.size("embedding"))).first()[0] or 0
+    names = [f"f{i}" for i in range(width)]
+    rows = e.select("vec_id", (F.col("label") % 2).alias("y"), *(F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)))
+    return learning.train(rows, names, model="dt")[1].select("vec_id", "y", "pred", F.round("confidence", 6).alias("confidence"))
 
 
 @query()

@@ -222,6 +222,17 @@ def test_named_queries(spark):
         sql.named(spark.range(1), ["a", "b"])
 
 
+def test_spark_ml_classify_uses_every_component(spark, tmp_path):
+    """The label is in the last component only."""
+    from quillgrid.plans.catalogue import QUERIES
+
+    rng = random.Random(3)
+    rows = [(i, i % 2, [rng.random() for _ in range(9)] + [float(i % 2)]) for i in range(300)]
+    spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = QUERIES["spark_ml_classify"](spark, str(tmp_path)).collect()
+    assert len(got) > 50 and all(r.y == r.pred for r in got)
+
+
 def test_image_steps_of_the_registry(spark):
     page = np.full((90, 120), 255, np.uint8)
     page[20:22, 15:100] = page[20:70, 15:17] = 0
