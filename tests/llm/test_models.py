@@ -1,5 +1,8 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -47,7 +50,7 @@ def test_index_is_exact():
         t = np.unique(rng.integers(0, 80, rng.integers(1, 12)))
         w = rng.random(t.size)
         rows.append((t, w / np.sqrt((w**2).sum())))
-    index = toxicity.Index(rows, 80)
+    index = toxicity.Index(500, 80, np.repeat(np.arange(500), [t.size for t, _ in rows]), np.concatenate([t for t, _ in rows]), np.concatenate([w for _, w in rows]))
     dense = np.zeros((500, 80))
     for i, (t, w) in enumerate(rows):
         dense[i, t] = w
@@ -57,9 +60,80 @@ def test_index_is_exact():
         q = np.zeros(80)
         q[t] = w
         sims = dense @ q
-        ids, got = index.nearest(t, w, 10)
+        q, ids, got = index.nearest(np.array([0, t.size]), t, w, 10)
         best = np.sort(sims[sims > 0])[::-1][:10]
-        assert np.allclose(got, best) and np.allclose(sims[ids], got)
+        assert (q == 0).all() and np.allclose(got, best) and np.allclose(sims[ids], got)
+    # many queries at once, some without terms, and examples that a query leaves out
+    queries = [np.unique(rng.integers(0, 80, rng.integers(0, 6))) for _ in range(200)]
+    first = np.concatenate([[0], np.cumsum([t.size for t in queries])])
+    weights, group, leave = rng.random(int(first[-1])), rng.integers(0, 40, 500), rng.integers(0, 40, 200)
+    q, ids, got = index.nearest(first, np.concatenate(queries), weights, 12, leave, group)
+    for i, t in enumerate(queries):
+        sims = dense[:, t] @ weights[first[i] : first[i + 1]]
+        sims[group == leave[i]] = 0
+        assert np.allclose(got[q == i], np.sort(sims[sims > 0])[::-1][:12]) and np.allclose(sims[ids[q == i]], got[q == i])
+
+
+def test_toxicity_scores_against_brute_force(labelled):
+    """The query's votes, evidence and scores from plain passages, Counter and a full sort; the frequencies from plain sets."""
+    docs, labels, known = labelled
+    learn = fold(F.col("doc_id"), 3) != 1
+    model, rows = toxicity.fit(docs, labels, learn), {r.doc_id: r for r in toxicity.toxicity_scores(docs, labels).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+
+    def terms(text):
+        words = re.findall("[a-z0-9\x80-\U0010ffff]+", text.lower())
+        cut = [words[i : i + toxicity.PASSAGE] for i in range(0, len(words), toxicity.PASSAGE)] or [[]]
+        return [Counter(x for w in p for x in [w, *(w[:k] + "*" * k for k in toxicity.BEGINNINGS if len(w) > k)]) for p in cut]
+
+    seen = Counter(x for t in texts.values() for x in {x for p in terms(t) for x in p})
+    size, names = len(texts), {}
+    index = model.index
+    entry = np.repeat(np.arange(model.idf.size), index.lens)
+    dense = np.zeros((index.n, model.idf.size))
+    dense[index.ex, entry] = index.weight
+    assert np.allclose((dense**2).sum(axis=1), 1)
+    for x in seen:
+        _, _, h = toxicity._terms([x.rstrip("*").encode() + (b"zzzzzz" if "*" in x else b"")])
+        at = np.nonzero(np.isin(model.look.terms, h))[0] if "*" not in x else np.nonzero(model.look.terms == h[1 + toxicity.BEGINNINGS.index(x.count("*"))])[0]
+        if "*" not in x:
+            at = np.nonzero(model.look.terms == h[0])[0]
+        if at.size:
+            names[x] = int(at[0])
+            assert toxicity.MIN_SHARE * size <= seen[x] <= toxicity.MAX_SHARE * size and np.isclose(model.idf[at[0]], math.log((size + 1) / (seen[x] + 1)) + 1e-3)
+    assert len(names) == model.idf.size
+    for doc_id in list(texts)[::9]:
+        best = (-1.0,)
+        for p in terms(texts[doc_id]):
+            v = np.zeros(model.idf.size)
+            for x, n in p.items():
+                if x in names:
+                    v[names[x]] = (1 + math.log(n)) * model.idf[names[x]]
+            sims = np.round(dense @ (v / max(np.linalg.norm(v), 1e-12)), 9)
+            near = sorted(np.nonzero(sims > 0)[0], key=lambda e: (-sims[e], e))[: toxicity.NEAREST]
+            share = sims[near] ** 2
+            # examples as near as the last neighbour may stand in for it
+            tie = len({model.labels[e] for e in np.nonzero(np.isclose(sims, sims[near[-1]]))[0]}) > 1 if near else False
+            vote = (share @ model.labels[near]) / (share.sum() + toxicity.DOUBT)
+            best = max(best, (vote, float(sims[near[0]]) if near else 0.0, tie))
+        raw, evidence, found = model.raw([texts[doc_id].encode()])
+        if not best[2]:
+            assert np.isclose(raw[0], best[0], atol=1e-6)
+        assert np.isclose(rows[doc_id].score, model.score(raw)[0]) and sorted(rows[doc_id].evidence) == sorted(evidence[0])
+        assert (np.diff(found[0]) <= 1e-7).all()
+        assert bool(evidence[0]) == any(x in names for p in terms(texts[doc_id]) for x in p)
+
+
+def test_toxicity_finds_neighbours_for_nearly_all(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxicity_scores(docs, labels).join(docs.select("doc_id", "text"), "doc_id").where("rlike(text, '[A-Za-z0-9]')").collect()
+    assert len(rows) > 900 and sum(bool(r.evidence) for r in rows) >= 0.99 * len(rows) and len({r.score for r in rows}) > 5
+
+
+def test_repeated_ids_are_sampled_once(spark):
+    docs = spark.createDataFrame([(i % 5, f"text {i} " + "bad " * (i % 2)) for i in range(500)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(5)], "doc_id bigint, quality int, toxic int")
+    assert toxicity.sample_labelled(docs, labels, "toxic", F.lit(True), 100).count() == 5
 
 
 def test_isotonic_rises():
