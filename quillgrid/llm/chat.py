@@ -93,8 +93,13 @@ def format_chats(conversations: DataFrame) -> DataFrame:
 
 
 def chat_digest(formatted: DataFrame) -> DataFrame:
-    """What reading `formatted` back gives."""
-    read = formatted.withColumn("read", parse(F.col("formatted")))
+    """What reading `formatted` back gives, one row per conversation; one that didn't pass its round trip is an error.
+
+    Null roles and texts are empty, very long conversations are read whole, turns that tie or repeat stand in the order of format_chats(); an empty table gives an
+    empty result.
+    """
+    failed = F.raise_error(F.concat(F.lit("a conversation doesn't read back as its source: "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))).cast("string")
+    read = formatted.withColumn("formatted", F.when(F.col("round_trip"), F.col("formatted")).otherwise(failed)).withColumn("read", parse(F.col("formatted")))
     whole = F.array_join(F.transform("read", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
     masked = F.array_join(F.transform(F.filter("read", lambda t: t.loss), lambda t: t.text), "")
     read = read.select("conv_id", F.size("read").cast("bigint").alias("n_turns"), whole.alias("whole"), masked.alias("masked"), F.length("formatted").cast("bigint").alias("formatted_chars"), "round_trip")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,11 +30,13 @@ def lower_ascii(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only where that is unset (tests, one machine) a temporary folder is set."""
+    """The folder named by spark.checkpoint.dir. Only where that is unset and all runs on one machine (tests), a temporary folder is set."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     current = sc.getCheckpointDir()
     if current is None:
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quillgrid-"))
     return named or sc.getCheckpointDir()
 
@@ -55,7 +58,8 @@ def table(df: DataFrame) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Arrow batches of at most `rows` rows to Python workers, so that long texts don't fill their memory."""
+    """Arrow batches of at most `rows` rows to Python workers, so that long texts don't fill their memory. Lowers the session's own setting, which
+    has to hold when the query runs; a setting that is lower already stays."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 

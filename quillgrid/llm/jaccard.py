@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quillgrid.llm.common import cut, small_batches, table
 from quillgrid.llm.scan import SPACES, mix, parts, scan
@@ -33,6 +34,10 @@ SLICE_MIN, MAX_FREQUENT = 3, 200_000
 PIECE, MEAN, COLUMNS = 512, 2048, 4096
 #: Heads are longer by one shingle in so many, and linked sets then share so many more of them.
 SHARE = 16
+#: Sets that a task remembers, so that their copies don't send the same shingles again.
+REMEMBERED = 500_000
+#: Copies of what a large block's sets are compared with, so that its sets go to so many tasks.
+STAR_SALTS = 16
 #: Up to so many ids (8 bytes each) are broadcast; beyond, texts and ids meet in a shuffle.
 BROADCAST_IDS = 500_000
 _STEPS = np.array([pow(0xD1342543DE82EF95, k + 1, 1 << 64) for k in range(64)], np.uint64)
@@ -87,11 +92,19 @@ def _frequent(words: int, seed: int):
 def _prefixes(words: int, percent: int, seed: int, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = frequent.value
+        seen: set[int] = set()
         for part, texts in parts(batches):
             sets = shingle_sets(texts, words, seed)
             sid, check = set_ids(sets, seed)
             heads = []
-            for s in sets:
+            for s, name, doc_id in zip(sets, sid.tolist(), part.column(0).to_pylist()):
+                # copies have one set: a task gives its head once, as long as it remembers
+                if doc_id is None or name in seen:
+                    heads.append(s[:0])
+                    continue
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(name)
                 size = s.size - -(-percent * s.size // 100) + shared(s.size) if s.size else 0
                 if hot.size and s.size:
                     at = np.minimum(np.searchsorted(hot, s), hot.size - 1)
@@ -204,8 +217,13 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", w
     Words are split at white space after lower-casing A-Z. A document's set has its distinct shingles of `words` words; with fewer words the whole sequence is one,
     without words the set is empty and linked with nothing. Two documents link if 100 * intersection >= percent * union. component_id is the smallest id that links
     reach. Null text: no words. A row with a null id links with nothing and has a null component. Repeated rows are kept; two rows with the same id and different
-    texts count as two documents. An empty table gives an empty result; other columns are ignored.
+    texts count as two documents. Texts of any length are taken whole. An empty table gives an empty result; other columns are ignored, whatever their names.
     """
+    return _components(docs, key, text, words, percent)[0].select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, key: str, text: str, words: int, percent: int) -> tuple[DataFrame, int]:
+    """doc_id, n_shingles, sid (the id of the row's set, null for none), root (of its component) and component_id of every row; and the seed of the hashes."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -218,12 +236,12 @@ def ngram_components(docs: DataFrame, key: str = "doc_id", text: str = "text", w
         clash = rows.groupBy("sid").agg((F.min("check") != F.max("check")).alias("x"), (F.min("n") != F.max("n")).alias("y")).where("x or y")
         if clash.isEmpty():
             break
-    return _label(rows, components(_links(rows, docs, words, percent, seed)))
+    return _label(rows, components(_links(rows, docs, words, percent, seed))), seed
 
 
 def _links(rows: DataFrame, docs: DataFrame, words: int, percent: int, seed: int) -> DataFrame:
     """Edges (u, v) between set ids that span the components of the linked sets."""
-    heads = rows.where("n > 0 and doc_id is not null").select("sid", "n", F.explode("head").alias("h"))
+    heads = rows.where("n > 0 and size(head) > 0").select("sid", "n", F.explode("head").alias("h"))
     common = heads.groupBy("h").agg(F.min("sid").alias("lead"), F.max("sid").alias("top")).where("lead <> top").select("h", "lead")
     # sets that link have at least shared(n) of their heads' shingles in common, under at most k leaders; under one of them, then, at least shared(n) / k
     met = heads.join(common, "h").groupBy("lead", "sid", "n").agg(F.countDistinct("h").alias("c"))
@@ -256,7 +274,8 @@ def _star(large: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, D
     """
     centre = large.groupBy("lead").agg(F.min(F.struct(-F.col("peers"), F.col("sid")))["sid"].alias("centre"))
     theirs = centre.join(sets.select(F.col("sid").alias("centre"), F.col("shingles").alias("other")), "centre")
-    both = large.select("lead", "sid").join(sets, "sid").join(theirs, "lead")
+    theirs = theirs.withColumn("salt", F.explode(F.array(*map(F.lit, range(STAR_SALTS)))))
+    both = large.select("lead", "sid").join(sets, "sid").withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(STAR_SALTS)).cast("int")).join(theirs, ["lead", "salt"])
     linked = cut(both.select("lead", "sid", "centre", "shingles", "other").mapInArrow(_compare(percent), "lead bigint, sid bigint, centre bigint"))
     flagged = large.join(linked.select("lead", "sid", F.lit(0).alias("open")), ["lead", "sid"], "left")
     flagged = cut(flagged.select("lead", "sid", "n", "b", F.coalesce("open", F.lit(1)).alias("open")))
@@ -309,20 +328,45 @@ def _label(rows: DataFrame, roots: DataFrame) -> DataFrame:
     spread = roots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
     flat = cut(
         flat.withColumn("salt", salt).join(spread.withColumnRenamed("node", "sid"), ["sid", "salt"], "left")
-        .select("doc_id", "n_shingles", "salt", F.coalesce("root", "sid").alias("root"))
+        .select("doc_id", "n_shingles", "sid", "salt", F.coalesce("root", "sid").alias("root"))
     )
     least = flat.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("size")).where("size > 1").drop("size")
     least = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
     done = flat.join(least, ["root", "salt"], "left")
-    return done.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    return done.select("doc_id", "n_shingles", "sid", "root", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+
+
+def _named(seed: int, words: int, columns: list[str], text: str):
+    """Adds the id of each row's set, null for an empty one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = columns.index(text)
+        for part, texts in parts(batches, at):
+            sets = shingle_sets(texts, words, seed)
+            sid = pa.array(set_ids(sets, seed)[0], mask=np.array([s.size == 0 for s in sets], bool))
+            yield pa.RecordBatch.from_arrays([*part.columns, sid], names=[*part.schema.names, "__quillgrid_sid"])
+
+    return run
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs that stay when each component keeps its smallest id; all columns. Rows that repeat an id stay once. Rows with a null id stay."""
-    labelled = cut(ngram_components(docs, words=words, percent=percent))
+    """The rows of docs that stay when each component keeps its smallest id; all columns.
+
+    Texts without words (null ones among them) and rows with a null id are in no component and stay. Rows that repeat an id with the same shingle set stay
+    once, which of them is open only where they differ in other columns or in white space and case; an id with several texts counts as several documents, of
+    which each stays unless it is in a component with a smaller one. Very long texts are compared whole. An empty table gives an empty result.
+    """
+    labelled, seed = _components(docs, "doc_id", "text", words, percent)
+    labelled = cut(labelled)
     ids = labelled.where("doc_id is not null").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("d")).first()
-    gone = _maybe_broadcast(cut(labelled.where("doc_id <> component_id").select(F.col("doc_id").alias("__quillgrid_gone")).distinct()))
-    kept = docs.join(gone, docs["doc_id"] == F.col("__quillgrid_gone"), "left_anti")
     if ids["n"] == ids["d"]:
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+        gone = _maybe_broadcast(cut(labelled.where("doc_id <> component_id").select(F.col("doc_id").alias("__quillgrid_gone")).distinct()))
+        return docs.join(gone, docs["doc_id"] == F.col("__quillgrid_gone"), "left_anti")
+    # ids repeat: of each component the row with the smallest id, and of its sets the one with the smallest set id, stays
+    pairs = cut(labelled.where("sid is not null and doc_id is not null").select("root", "doc_id", "sid").distinct())
+    first = pairs.groupBy("root").agg(F.min(F.struct("doc_id", "sid")).alias("f")).select("f.*")
+    gone = pairs.select("doc_id", "sid").join(first, ["doc_id", "sid"], "left_anti").select(F.col("doc_id").alias("__quillgrid_gone"), F.col("sid").alias("__quillgrid_set"))
+    named = docs.mapInArrow(_named(seed, words, docs.columns, "text"), StructType([*docs.schema.fields, StructField("__quillgrid_sid", LongType())]))
+    kept = named.join(_maybe_broadcast(cut(gone)), (F.col("doc_id") == F.col("__quillgrid_gone")) & (F.col("__quillgrid_sid") == F.col("__quillgrid_set")), "left_anti")
+    alone = F.col("__quillgrid_sid").isNull() | F.col("doc_id").isNull()
+    return kept.where(~alone).dropDuplicates(["doc_id", "__quillgrid_sid"]).unionByName(kept.where(alone)).select(*(F.col(f"`{c}`") for c in docs.columns))

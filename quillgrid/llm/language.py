@@ -15,24 +15,31 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgrid.llm.common import fold, small_batches
+from quillgrid.llm.common import cut, fold, small_batches
 from quillgrid.llm.scan import NOT_WORD, parts
 
 DIMS, CLUSTERS, ROUNDS = 4096, 3, 12
-#: Expected number of sampled documents per language, and the share of a centroid's own sample that rejection may cost.
-SAMPLE, REJECT = 500, 0.01
-#: Languages learned, by number of documents: a bound for the model's size.
-LANGUAGES = 256
+#: Expected number of sampled documents per language, and of all languages together (where there are many, each gets fewer, but all are learned);
+#: the share of a centroid's own sample that rejection may cost.
+SAMPLE, SAMPLES, REJECT = 500, 20_000, 0.01
+#: More languages than this are an error: a bound for the model's size.
+LANGUAGES = 4000
 SHARPNESS = 25.0
 UNKNOWN = "und"
 SCHEMA = "doc_id bigint, lang_pred string, score double, rejected boolean"
-_LETTER = re.compile(r"[^\W\d_]")
+#: A superset of the letters, to find candidates fast: superscripts, fractions and number forms are among them.
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
 _DIGITS_TOO = NOT_WORD.copy()
 _DIGITS_TOO[ord("0") : ord("9") + 1] = True
 _LETTERS = np.where(_DIGITS_TOO, 32, np.arange(256)).astype(np.uint8)
 _LETTERS[ord("A") : ord("Z") + 1] += 32
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether any character is a letter (a Unicode category L)."""
+    return text is not None and any(m.group().isalpha() for m in _MAYBE_LETTER.finditer(text))
+
+
 def counts(texts: list[bytes]) -> np.ndarray:
     """texts x DIMS counts of hashed byte trigrams; runs of spaces count once."""
     data = _LETTERS[np.frombuffer(b"  ".join([b"", *texts, b""]), np.uint8)]
@@ -54,7 +61,7 @@ def unit(n: np.ndarray, idf: np.ndarray) -> np.ndarray:
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, texts in parts(batches, rows=64):
         n = counts(texts)
-        yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([np.minimum(r, 65535).astype(np.uint16).tobytes() for r in n], pa.binary())], names=["doc_id", "lang", "n"])
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([r.astype(np.uint32).tobytes() for r in n], pa.binary())], names=["doc_id", "lang", "n"])
 
 
 def _document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,13 +105,18 @@ class Centroids:
 
 
 def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Centroids:
-    """docs: doc_id, text, lang. Inverse document frequencies come from all documents."""
+    """docs: doc_id, text, lang. Inverse document frequencies come from all documents; an id that repeats is sampled once, with its greatest text."""
     spark = docs.sparkSession
     small_batches(spark)
     known = docs.where(F.coalesce(learn, F.lit(False)) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(1e6) * sample / F.col("count")
-    chosen = known.join(F.broadcast(sizes), "lang").where(share).select("doc_id", "text", "lang")
+    sizes = cut(known.groupBy("lang").agg(F.count_distinct("doc_id").alias("count")))
+    n_langs = sizes.count()
+    if n_langs > LANGUAGES:
+        raise ValueError(f"{n_langs} languages; at most {LANGUAGES} can be learned")
+    each = min(sample, max(SAMPLES // max(n_langs, 1), 5))
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(1e6) * each / F.col("count")
+    # at most LANGUAGES rows
+    chosen = known.join(F.broadcast(sizes), "lang").where(share).groupBy("doc_id", "lang").agg(F.max("text").alias("text")).select("doc_id", "text", "lang")
     rows = chosen.mapInArrow(_sampled, "doc_id bigint, lang string, n binary").toArrow().sort_by([("doc_id", "ascending")])
     df = np.zeros(DIMS)
     sums = docs.select("text").mapInArrow(_document_frequency, "df array<bigint>").select(F.posexplode("df").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n"))
@@ -114,7 +126,7 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Centroids:
     idf = np.log((total + 1) / (df + 1)) + 0.1
     langs, centres, least = [], [], []
     names = np.array(rows["lang"].to_pylist(), object)
-    n = np.frombuffer(b"".join(rows["n"].to_pylist()), np.uint16).reshape(-1, DIMS)
+    n = np.frombuffer(b"".join(rows["n"].to_pylist()), np.uint32).reshape(-1, DIMS)
     for lang in sorted(set(names.tolist())):
         x = unit(n[names == lang], idf)
         x = x[(x * x).sum(axis=1) > 0.5]
@@ -133,7 +145,7 @@ def _predict(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for part, texts in parts(batches, rows=64):
-            letters = np.array([bool(t and _LETTER.search(t)) for t in part.column(1).to_pylist()])
+            letters = np.array([has_letter(t) for t in part.column(1).to_pylist()])
             if m.langs:
                 lang, score, rejected = m.predict(texts)
                 names = [m.langs[k] if ok else UNKNOWN for k, ok in zip(lang.tolist(), letters.tolist())]
@@ -149,7 +161,7 @@ def languages(docs: DataFrame, learn: Column | None = None, sample: int = SAMPLE
     """doc_id, lang_pred, score (0 to 1) and rejected of every whole text.
 
     learn: which rows may be learned from (a condition on their columns; null counts as false). Null texts and texts without a letter are `und`, with score
-    0; so is everything where nothing could be learned. Repeated rows and null ids are kept, an empty table gives an empty result,
+    0; so is everything where nothing could be learned. Texts of any length are judged whole; of languages that tie the first in order wins. Repeated rows and null ids are kept, an empty table gives an empty result,
     other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
@@ -158,6 +170,6 @@ def languages(docs: DataFrame, learn: Column | None = None, sample: int = SAMPLE
 
 
 def language_predictions(docs: DataFrame) -> DataFrame:
-    """The registered query's columns: one id in three is held out of learning."""
+    """The registered query's columns, one row per row of docs: one id in three is held out of learning. Odd rows as in languages()."""
     held = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
     return languages(docs, fold(F.col("doc_id"), 3) != 1).select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillgrid.llm.common import small_batches
+from quillgrid.llm.scan import parts
 
 UNIT, PAD, RATE = 576, 255, 8000
 HOP = UNIT // 2
@@ -80,24 +81,22 @@ def fingerprint(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32())]
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media", "fp_time", "fp_code"]
-    for batch in batches:
-        for at in range(0, batch.num_rows, 128):
-            part = batch.slice(at, 128)
-            out: list[list] = [[] for _ in names]
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
-                data = text or b""
-                media = to_wav(data)
-                back = from_wav(media)
-                times, codes = fingerprint(back)
-                for column, value in zip(out, (doc_id, len(data), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), media, times, codes)):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=names)
+    for part, texts in parts(batches, rows=128):
+        out: list[list] = [[] for _ in names]
+        for doc_id, data in zip(part.column(0).to_pylist(), texts):
+            media = to_wav(data)
+            back = from_wav(media)
+            times, codes = fingerprint(back)
+            for column, value in zip(out, (doc_id, len(data), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), media, times, codes)):
+                column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=names)
 
 
 def media_columns(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: the stored WAV bytes, what reading them back gave, and the fingerprint's time-coded arrays.
 
-    Null and empty texts give one unit of padding. Rows are independent of each other: repeated rows and null ids are kept, an empty table
+    Null and empty texts give one unit of padding; very long texts are stored whole, and transformed in blocks of frames. Peaks that tie go to the lower bin and the
+    later frame; equal texts have equal values. Rows are independent of each other: repeated rows and null ids are kept, an empty table
     gives an empty result, other columns are ignored.
     """
     small_batches(docs.sparkSession)
@@ -105,7 +104,7 @@ def media_columns(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 
 def media_digest(docs: DataFrame) -> DataFrame:
-    """The digest columns of media_columns()."""
+    """The digest columns of media_columns(), one row per row of docs. Odd rows as there."""
     return media_columns(docs).select(
         "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32",
         F.length("media").cast("bigint").alias("media_bytes"),

@@ -19,8 +19,8 @@ from quillgrid.llm.scan import parts, scan
 from quillgrid.llm.toxicity import sample_labelled
 
 PASSAGE, PAIRS, HIDDEN, GATE = 64, 64, 24, 12
-#: Documents per class, passes over them, documents per step.
-EXAMPLES, EPOCHS, STEP = 1500, 25, 64
+#: Documents per class, passages that are learned from of each (evenly from the whole text where it has more), passes over them, documents per step.
+EXAMPLES, PASSAGES, EPOCHS, STEP = 1500, 128, 25, 64
 THRESHOLD = 0.7
 SCHEMA = "doc_id bigint, score double, predicted int, passages int, attention_at int"
 
@@ -49,9 +49,13 @@ def encode_passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     spans = np.diff(np.append(w.starts[head], w.data.size))
     of_byte = np.repeat(passage[head], spans)
     data = w.data[w.starts[0] :]
-    classes = np.bincount(of_byte * CLASSES + _CLASS[data], minlength=total * CLASSES).reshape(total, CLASSES)
+    # but not those of the next text, before its first word: a score must not depend on what else is in the batch
+    text = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])[w.starts[0] :]
+    own = text == np.repeat(np.arange(len(texts)), n_passages)[of_byte]
+    classes = np.bincount(of_byte[own] * CLASSES + _CLASS[data[own]], minlength=total * CLASSES).reshape(total, CLASSES)
+    both = own[:-1] & (text[1:] == text[:-1])
     code = (data[:-1].astype(np.uint32) * 263 + data[1:].astype(np.uint32) * 5) * np.uint32(2654435761) >> np.uint32(26)
-    pairs = np.bincount(of_byte[:-1] * PAIRS + code, minlength=total * PAIRS).reshape(total, PAIRS)
+    pairs = np.bincount(of_byte[:-1][both] * PAIRS + code[both], minlength=total * PAIRS).reshape(total, PAIRS)
     x[:, :CLASSES] = np.sqrt(classes / np.maximum(classes.sum(axis=1, keepdims=True), 1))
     x[:, CLASSES : CLASSES + PAIRS] = np.sqrt(pairs / np.maximum(pairs.sum(axis=1, keepdims=True), 1))
     count = np.bincount(passage, minlength=total).astype(np.float64)
@@ -74,7 +78,7 @@ def encode_passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, texts in parts(batches):
         x, first = encode_passages(texts)
-        rows = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+        rows = [x[np.unique(np.linspace(a, b - 1, min(b - a, PASSAGES)).astype(np.int64))].tobytes() for a, b in zip(first[:-1], first[1:])]
         yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(rows, pa.binary())], names=["doc_id", "label", "x"])
 
 
@@ -131,7 +135,8 @@ class AttentionModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", examples: int = EXAMPLES) -> AttentionModel:
-    """Learns from at most `examples` documents of each class; classes weigh as often as they occur among all labels."""
+    """Learns from at most `examples` documents of each class and PASSAGES passages of each, which bounds what the driver gets; classes weigh as often as
+    they occur among all labels."""
     small_batches(docs.sparkSession)
     rows = sample_labelled(docs, labels, label, learn, examples).mapInArrow(_features, "doc_id bigint, label int, x binary").toArrow().sort_by([("doc_id", "ascending")])
     y = rows["label"].to_numpy().astype(np.float64)
@@ -180,7 +185,7 @@ def quality(docs: DataFrame, labels: DataFrame, learn: Column | None = None, exa
     """doc_id, score (0 to 1), predicted (score >= 0.7), passages and attention_at (the passage with the most attention).
 
     learn: which rows of `labels` may be learned from (null counts as false). Null and empty texts are one empty passage. Without labels
-    every score is the same. Repeated rows and null ids are kept, an empty table gives an empty result, other columns are ignored.
+    every score is the same. Texts of any length are judged whole; of passages with equal attention the first is named. Repeated rows and null ids are kept, an empty table gives an empty result, other columns are ignored.
     """
     learn = F.lit(True) if learn is None else learn
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, learn, examples=examples))
@@ -189,7 +194,11 @@ def quality(docs: DataFrame, labels: DataFrame, learn: Column | None = None, exa
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> DataFrame:
-    """The rows of docs that quality() predicts as 1, with all their columns, whatever their names."""
+    """The rows of docs that quality() predicts as 1, with all their columns, whatever their names.
+
+    Null and empty texts are one empty passage, very long texts are judged whole, equal texts stay or go alike; repeated rows and null ids are rows like others,
+    an empty table gives an empty result. Without labels every score is the same, and all rows stay or all go.
+    """
     learn = F.lit(True) if learn is None else learn
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, learn))
     return docs.mapInArrow(_pass(model, docs.columns, "text"), docs.schema)
@@ -201,6 +210,6 @@ def learnable() -> Column:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The registered query's columns."""
+    """The registered query's columns, one row per row of docs. Odd rows as in quality()."""
     scored = quality(docs, labels, learnable())
     return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted", "passages")

@@ -1,20 +1,21 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Every rule is a condition on measures of one text. On a sample, each rule's rejection rate is counted and its cost is
-estimated from the amount it has to scan; the rules then run in the order of rejection per cost. A CASE expression stops at the first rule that
-rejects, and the measures that only later rules need are inside its branches, so they aren't computed for that row. The order
-changes only the cost: the verdict is the same in any order.
+Every rule is a condition on measures of one text. On a sample, each rule's cost is measured (the time that it takes to judge the sample) and the sets of
+rules that reject each row are counted; the cascade is then put together greedily: next comes the rule that rejects most of the rows which are still left, for
+its cost. A CASE expression stops at the first rule that rejects, and the measures that a rule alone needs are inside its branch, so they aren't computed
+for rows that are already rejected. The order changes only the cost: the verdict is the same in any order.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgrid.llm.common import words
+from quillgrid.llm.common import cut, words
 
 SYMBOLS = "[#*$%&|<>]"
 #: Rows of the sample that orders the rules. It has no influence on any verdict.
@@ -25,23 +26,30 @@ POSITION_BITS = 24
 
 @dataclass(frozen=True)
 class Rule:
-    """Rejects where `rejects` holds (SQL on measures). scan: what it reads, `n_words` or `chars`; weight: cost per unit scanned."""
+    """Rejects where `rejects` holds: SQL on measures, and on names in LAZY, which stand for what is computed only where the rule is reached."""
 
     name: str
     rejects: str
-    scan: str = "n_words"
-    weight: float = 1.0
 
 
+#: Words with a letter; lines that end in an ellipsis; lines that begin with a bullet.
+LAZY = {
+    "n_letter_words": r"size(filter(words, w -> w rlike '\\p{L}'))",
+    "n_ellipsis_lines": r"size(filter(lines, x -> x rlike '(\\.\\.\\.|\u2026)[ \\t-\\r]*\\z'))",
+    "n_bullet_lines": r"size(filter(lines, x -> x rlike '^[ \\t-\\r]*[-*\u2022]'))",
+}
 BASE = (
-    Rule("few_words", "n_words < 50", "n_words", 1),
-    Rule("repeats", "100 * n_repeat_words > 50 * n_words", "n_words", 40),
+    Rule("few_words", "n_words < 50"),
+    Rule("repeats", "100 * n_repeat_words > 50 * n_words"),
 )
 RULES = (
-    Rule("symbols", "10 * n_symbols > n_words", "chars", 1),
-    Rule("short_words", "word_chars < 2 * n_words", "n_words", 2),
-    Rule("long_words", "word_chars > 20 * n_words", "n_words", 2),
-    Rule("dup_lines", "2 * n_dup_lines > n_lines", "chars", 3),
+    Rule("symbols", "10 * n_symbols > n_words"),
+    Rule("short_words", "word_chars < 2 * n_words"),
+    Rule("long_words", "word_chars > 20 * n_words"),
+    Rule("dup_lines", "2 * n_dup_lines > n_lines"),
+    Rule("letters", "10 * n_letter_words < 3 * n_words"),
+    Rule("ellipses", "10 * n_ellipsis_lines > 6 * n_lines"),
+    Rule("bullets", "10 * n_bullet_lines > 9 * n_lines"),
 )
 
 
@@ -79,7 +87,7 @@ _REPEAT_SQL = _repeat_words("cast(n_words as int)")
 
 
 def _measures(df: DataFrame) -> DataFrame:
-    """Adds words, n_words, word_chars, n_symbols, n_lines and n_dup_lines (all cheap) to doc_id and text."""
+    """Adds words, lines, n_words, word_chars, n_symbols, n_lines and n_dup_lines (all cheap) to doc_id and text."""
     df = df.withColumn("words", words(F.col("text"))).withColumn("lines", F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: x.rlike("[^ \\t-\\r]")))
     return df.select(
         "*",
@@ -88,46 +96,74 @@ def _measures(df: DataFrame) -> DataFrame:
         F.regexp_count(F.coalesce("text", F.lit("")), F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
         F.size("lines").cast("bigint").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("chars"),
-    ).drop("lines")
+    )
 
 
 def quality_measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and all measures of every whole text (null: no words)."""
+    return _measured(docs, key, text).drop("text", "words", "lines")
+
+
+def _measured(docs: DataFrame, key: str, text: str) -> DataFrame:
     df = _measures(docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text")))
-    return df.withColumn("n_repeat_words", F.expr(_REPEAT_SQL)).drop("text", "words")
+    return df.withColumn("n_repeat_words", F.expr(_REPEAT_SQL))
+
+
+def _condition(rule: Rule, known: Sequence[str]) -> str:
+    """The rule as SQL, with everything spelt out that isn't a column yet."""
+    sql = f"({rule.rejects})"
+    for name, body in {"n_repeat_words": _REPEAT_SQL, **LAZY}.items():
+        if name not in known:
+            sql = sql.replace(name, body)
+    return sql
+
+
+def _clock() -> float:
+    return time.perf_counter()
 
 
 def order_rules(docs: DataFrame, rules: Sequence[Rule] = BASE + RULES, sample_rows: int = SAMPLE_ROWS, text: str = "text") -> list[Rule]:
-    """rules, by rejection per cost on a sample of about sample_rows rows, highest first; ties and an empty sample keep the given order."""
+    """rules, by rejection per cost on a sample of about sample_rows rows: next the one that rejects most of what is left for the time it takes.
+
+    Ties, rules that reject nothing more and an empty sample keep the given order, cheaper rules first where nothing is rejected.
+    """
     total = docs.count()
-    sample = docs.sample(False, min(1.0, sample_rows / max(total, 1)), 7).select(F.lit(0).alias("doc_id"), F.col(text).alias("text"))
-    measured = quality_measures(sample)
-    seen = measured.agg(
-        F.count("*").alias("n"),
-        *(F.avg(F.expr(f"({r.rejects})").cast("double")).alias(f"reject_{i}") for i, r in enumerate(rules)),
-        *(F.avg(F.col(r.scan) * r.weight).alias(f"cost_{i}") for i, r in enumerate(rules)),
-    ).first()
-    if not seen["n"]:
+    sample = cut(docs.sample(False, min(1.0, sample_rows / max(total, 1)), 7).select(F.lit(0).alias("doc_id"), F.col(text).cast("string").alias("text")))
+    measured = _measures(sample)  # judged in projections, not in filters: those would be pushed below the words, to split them anew at each mention
+    bits = F.array(*(F.coalesce(F.expr(_condition(r, measured.columns)), F.lit(False)) for r in rules))
+    sets = {tuple(r["b"]): r["count"] for r in measured.select(F.explode(F.array(bits)).alias("b")).groupBy("b").count().collect()}
+    if not sets:
         return list(rules)
-    worth = lambda i: (seen[f"reject_{i}"] or 0.0) / max(seen[f"cost_{i}"] or 0.0, 1e-9)
-    return [rules[i] for i in sorted(range(len(rules)), key=lambda i: (-worth(i), i))]
+
+    def seconds(condition: str) -> float:
+        began = _clock()
+        measured.select(F.expr(condition).alias("x")).agg(F.count_if("x")).collect()
+        return _clock() - began
+
+    base = min(seconds("n_words < 0") for _ in range(2))
+    cost = [max(min(seconds(_condition(r, measured.columns)) for _ in range(2)) - base, 1e-3) for r in rules]
+    left, out = list(range(len(rules))), []
+    while left:
+        gain = {i: sum(n for b, n in sets.items() if b[i] and not any(b[j] for j in out)) for i in left}
+        out.append(min(left, key=lambda i: (-gain[i] / cost[i], cost[i] if not gain[i] else 0.0, i)))
+        left.remove(out[-1])
+    return [rules[i] for i in out]
 
 
 def cascade(df: DataFrame, rules: Sequence[Rule]) -> Column:
-    """Name of the first rule that rejects, else null. df must have the measures, or `words` where n_repeat_words is still to be computed."""
-    lazy = "n_repeat_words" not in df.columns
+    """Name of the first rule that rejects, else null. df must have the cheap measures; what else a rule needs is computed where the rule is reached."""
     verdict = None
     for r in rules:
-        rejects = F.expr(f"({r.rejects})".replace("n_repeat_words", _REPEAT_SQL) if lazy else f"({r.rejects})")
+        rejects = F.expr(_condition(r, df.columns))
         verdict = F.when(rejects, r.name) if verdict is None else verdict.when(rejects, r.name)
     return verdict
 
 
 def quality_filter(docs: DataFrame, rules: Sequence[Rule] = BASE + RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that no rule rejects, with all their columns; rows are judged one by one, so repeated rows and null ids stay or go alike.
+    """The rows of docs that no rule rejects, with all their columns; rows are judged one by one, so ties, repeated rows and null ids stay or go alike.
 
-    A null text has no words and is rejected. Columns of docs may have any names. An empty table gives an empty result.
+    A null or empty text has no words and is rejected; very long texts are judged whole. Columns of docs may have any names. An empty table gives an empty
+    result. Skipped: for a row that a rule rejects, all measures that only later rules need, the repeated windows among them.
     """
     ordered = order_rules(docs, rules, text=text)
     packed = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), F.lit(0).alias("doc_id"), docs[text].cast("string").alias("text"))
@@ -140,12 +176,14 @@ def quality_filter(docs: DataFrame, rules: Sequence[Rule] = BASE + RULES, key: s
 def quality_verdicts(docs: DataFrame, rules: Sequence[Rule] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, the base measures, base_failed and kept for every document.
 
-    Null text: no words, so base_failed. Null ids and repeated rows are kept; an empty table gives an empty result; other columns are ignored.
+    Null or empty text: no words, so base_failed; very long texts are judged whole. Null ids, ties and repeated rows are kept; an empty table gives an empty
+    result; other columns are ignored, whatever their names. The base measures are asked for and computed for every row. Skipped: for a row that fails
+    the base all of the cascade, and for one that a rule rejects the letters, ellipses and bullets that later rules count.
     """
-    measured = quality_measures(docs, key, text)
-    rejected = cascade(measured, order_rules(docs, rules, text=text))
+    measured = _measured(docs, key, text)
     failed = F.expr(" or ".join(f"({r.rejects})" for r in BASE))
+    rejected = cascade(measured, order_rules(docs, rules, text=text))
     return measured.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & rejected.isNull()).alias("kept"),
+        failed.alias("base_failed"), F.when(failed, F.lit(False)).otherwise(rejected.isNull()).alias("kept"),
     )

@@ -77,18 +77,22 @@ ORACLES = {
     "op7_quality_rules": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
         w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
-        lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+        lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
+                         count(*) FILTER (regexp_matches(line, '(\.\.\.|…)[\x20\x09-\x0D]*\z')) AS n_ellipsis_lines, count(*) FILTER (regexp_matches(line, '^[\x20\x09-\x0D]*[-*•]')) AS n_bullet_lines
                   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
         g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)),
         c AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g),
         p AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM c, (VALUES (0), (1), (2)) AS o(k) WHERE n >= 2 GROUP BY doc_id),
         m AS (SELECT w.doc_id, len(w.w)::BIGINT AS n_words, length(array_to_string(w.w, ''))::BIGINT AS word_chars,
                      (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-                     coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+                     coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+                     coalesce(n_ellipsis_lines, 0) AS n_ellipsis_lines, coalesce(n_bullet_lines, 0) AS n_bullet_lines,
+                     len(regexp_extract_all(text, '[^\x20\x09-\x0D]*\p{L}[^\x20\x09-\x0D]*')) AS n_letter_words
               FROM w LEFT JOIN lines ON lines.doc_id = w.doc_id LEFT JOIN p ON p.doc_id = w.doc_id),
         b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-               NOT base_failed AND NOT (10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 2 * n_dup_lines > n_lines) AS kept
+               NOT base_failed AND NOT (10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 2 * n_dup_lines > n_lines
+                                    OR 10 * n_letter_words < 3 * n_words OR 10 * n_ellipsis_lines > 6 * n_lines OR 10 * n_bullet_lines > 9 * n_lines) AS kept
         FROM b
     """,
 }

@@ -56,7 +56,7 @@ def url_verdicts(
     rules = (
         rules.select("verdict", "rule")
         .where(F.coalesce(slash, F.lit(0)) > 0)
-        .select("verdict", "rule", F.expr("lower(substring_index(rule, '/', 1))").alias("r_host"), F.expr("substring(rule, instr(rule, '/'))").alias("r_path"))
+        .select("verdict", "rule", lower_ascii(F.substring_index("rule", "/", 1)).alias("r_host"), F.expr("substring(rule, instr(rule, '/'))").alias("r_path"))
         .withColumn("rule", F.concat("r_host", "r_path"))
         .groupBy("rule", "r_host", "r_path")
         .agg(F.max("verdict").alias("r_verdict"))
@@ -80,7 +80,8 @@ def url_verdicts(
     )
     rules = rules.select("r_verdict", "r_host", F.col("rule").alias("r_rule"), F.col("digest").alias("r_digest"), short(F.col("digest")).alias("short"))
     if shape["n"] <= broadcast_rules:
-        # The rules arrive as a broadcast, so a URL's expressions are looked up, confirmed and ranked without moving the URL.
+        # The rules arrive as a broadcast, so the expressions are looked up and confirmed where they are; what is exchanged is one row per URL, after a partial
+        # aggregation that has ranked its matches.
         hashed = base.withColumn("row", F.monotonically_increasing_id()).withColumn("x", F.explode_outer(_digests(expressions)))
         joined = hashed.withColumn("short", short(F.col("x.digest"))).join(F.broadcast(rules), "short", "left")
     else:

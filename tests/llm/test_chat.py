@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 from quillgrid.llm.chat import chat_digest, escape, format_chats, unescape, with_conflict
 
@@ -51,3 +52,9 @@ def test_escape_is_reversible(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", escape(F.col("t")).alias("e"))
     for t, e, u in df.select("t", "e", unescape(F.col("e"))).collect():
         assert u == t and not any(m in e for m in ("<s>", "</s>", "[INST]", "[/INST]"))
+
+
+def test_a_failed_round_trip_is_an_error(spark):
+    made = spark.createDataFrame([(3, "[INST]user\nhi[/INST]", [], False)], "conv_id bigint, formatted string, loss_spans array<struct<start:bigint,length:bigint>>, round_trip boolean")
+    with pytest.raises(Exception, match="read back as its source: 3"):
+        chat_digest(made).collect()

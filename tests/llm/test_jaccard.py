@@ -110,3 +110,25 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, i) for i in range(101, 120)] + [(7, 7)]
     got = {r.node: r.root for r in J.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
     assert got == {**{i: 0 for i in range(1, 31)}, **{i: 100 for i in range(101, 120)}}
+
+
+def test_one_of_each_group_stays_where_ids_repeat(spark):
+    """A text stays unless its group has a smaller id, whatever other texts have the same id."""
+    base = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, base, "a"), (1, base, "a"), (1, "another text that stands alone here", "b"), (2, base + " end", "c"), (2, "also alone and under a taken id", "d"),
+            (3, "x y", "e"), (3, "x y", "e"), (4, None, "f"), (4, None, "g"), (None, base, "h"), (5, "X  Y", "i")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, root string")
+    kept = J.keep_one(df)
+    assert kept.columns == df.columns
+    want = [rows[0], rows[2], rows[4], rows[5], rows[7], rows[8], rows[9]]
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("remembered", [1, 500_000])
+def test_many_copies(spark, monkeypatch, remembered):
+    monkeypatch.setattr(J, "REMEMBERED", remembered)
+    base = [f"w{i}" for i in range(50)]
+    texts = [" ".join(base), " ".join([*base[:25], "x", *base[26:]]), " ".join(base[:45]), "other words altogether in this one"]
+    rows = [(i, texts[i % 3] if i % 7 else texts[3]) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    assert sorted(tuple(map(str, r)) for r in J.ngram_components(df).collect()) == sorted((i, str(n), c) for i, n, c in brute(rows))

@@ -1,7 +1,8 @@
 import hashlib
 import zlib
 
-from quillgrid.llm.media import fingerprint, from_wav, media_columns, media_digest, to_wav
+import numpy as np
+from quillgrid.llm.media import BANDS, fingerprint, from_wav, media_columns, media_digest, to_wav
 
 
 def test_round_trip_and_digest(odd, empty):
@@ -32,3 +33,23 @@ def test_fingerprint_is_local_in_time():
 def test_media_columns_has_the_stored_bytes(odd):
     r = media_columns(odd.where("doc_id = 5")).first()
     assert from_wav(bytes(r.media))[:7] == b"one two" and len(r.fp_time) == len(r.fp_code)
+
+
+def test_feature_against_a_plain_transform():
+    """Peaks and pairs found frame by frame, with a Fourier sum written out."""
+    rng = np.random.Generator(np.random.PCG64(2))
+    samples = bytes(rng.integers(97, 123, 576 * 3).astype(np.uint8)) + b"\xff" * 576
+    k = np.outer(np.arange(289), np.arange(576))
+    angle = 2 * np.pi * k / 576
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(576) / 575)
+    frames = [(np.frombuffer(samples[at : at + 576], np.uint8).astype(float) - 128) * window for at in range(0, len(samples) - 575, 288)]
+    power = [(np.cos(angle) @ f) ** 2 + (np.sin(angle) @ f) ** 2 for f in frames]
+    peaks = []
+    for t, p in enumerate(power):
+        for lo, hi in zip(BANDS, BANDS[1:]):
+            top = lambda i, lo=lo, hi=hi: power[i][lo:hi].max() if 0 <= i < len(power) else -1.0
+            if top(t) >= top(t - 1) and top(t) > top(t + 1):
+                peaks.append((t, lo + int(p[lo:hi].argmax())))
+    pairs = sorted((t, f << 15 | g << 6 | u - t) for i, (t, f) in enumerate(peaks) for u, g in peaks[i + 1 : i + 4] if u - t <= 63)
+    times, codes = fingerprint(samples)
+    assert len(pairs) > 20 and list(zip(times.tolist(), codes.tolist())) == pairs

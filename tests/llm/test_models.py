@@ -202,3 +202,87 @@ def test_odd_rows(spark, odd, empty):
     assert language.language_predictions(empty).count() == 0
     # a text gets one prediction, whatever the row
     assert len({(r.lang_pred, r.score) for r in rows if r.doc_id in (1, 2, None)}) == 1
+
+
+def test_letters():
+    assert not any(map(language.has_letter, [None, "", "12 ², ½ ① Ⅷ ٣ _ -", "\u20dd"]))
+    assert all(map(language.has_letter, ["a", "½ é", "日", "ª", "Ⅷ x"]))
+
+
+def test_languages_against_brute_force(labelled, monkeypatch):
+    """The query's predictions and scores from trigrams in a Counter and cosines term by term."""
+    docs, _, _ = labelled
+    learn = fold(F.col("doc_id"), 3) != 1
+    model = language.fit(docs, learn)
+    rows = {r.doc_id: r for r in language.language_predictions(docs).collect()}
+    for r in docs.where("doc_id % 40 = 0").collect():
+        text = re.sub("[^a-z\x80-\xff]+", " ", " " + r.text.encode().decode("latin-1").lower() + " ")
+        grams = Counter(text[i : i + 3] for i in range(len(text) - 2))
+        v = Counter()
+        for g, n in grams.items():
+            a, b, c = (ord(x) for x in g)
+            v[(((a * 65599 + b * 257 + c) * 2654435761) % 2**32) >> 20] += n
+        x = {k: math.log1p(n) * model.idf[k] for k, n in v.items()}
+        norm = math.sqrt(sum(y * y for y in x.values()))
+        sims = [sum(y / norm * float(c[k]) for k, y in x.items()) for c in model.centre]
+        top = [max(s for s, j in zip(sims, model.lang) if j == k) for k in range(len(model.langs))]
+        best = max(range(len(sims)), key=lambda j: sims[j])
+        p = [math.exp(language.SHARPNESS * (t - max(top))) for t in top]
+        score = p[model.lang[best]] / sum(p) / (2 if sims[best] < model.least[best] else 1)
+        assert rows[r.doc_id].lang_pred == model.langs[model.lang[best]] and math.isclose(rows[r.doc_id].score, score, rel_tol=1e-3)
+
+
+def test_many_languages_are_all_learned(spark, monkeypatch):
+    names = [f"l{i}" for i in range(300)]
+    rows = [(i, " ".join(f"{names[i % 300]}x{j % 7}" for j in range(12)).translate(str.maketrans("0123456789", "abcdefghij")), names[i % 300]) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert set(language.fit(df, F.lit(True)).langs) == set(names)
+    monkeypatch.setattr(language, "LANGUAGES", 10)
+    with pytest.raises(ValueError, match="300 languages"):
+        language.fit(df, F.lit(True))
+
+
+def test_quality_against_brute_force(labelled):
+    """The query's scores from the trained weights, passage by passage with plain loops."""
+    docs, labels, _ = labelled
+    model = quality_model.fit(docs, labels, quality_model.learnable())
+    rows = {r.doc_id: r for r in quality_model.quality_scores(docs, labels).collect()}
+    p, tanh, sigmoid = model.p, math.tanh, lambda x: 1 / (1 + math.exp(-x))
+    for r in docs.where("doc_id % 60 = 0").collect():
+        words = r.text.split()
+        encoded, weights = [], []
+        for at in range(0, len(words), quality_model.PASSAGE):
+            # a passage's bytes reach up to the next passage's first word
+            x = quality_model.encode_passages([r.text.encode()])[0][at // quality_model.PASSAGE]
+            part = " ".join(words[at : at + quality_model.PASSAGE]) + ("" if at + quality_model.PASSAGE >= len(words) else " ")
+            count = Counter(quality_model._CLASS[b] for b in (part + (" " if not part.endswith(" ") else "")).encode())
+            assert np.allclose(x[: quality_model.CLASSES], [math.sqrt(count[k] / sum(count.values())) for k in range(quality_model.CLASSES)], atol=1e-5)
+            lens = [len(w.encode()) for w in words[at : at + quality_model.PASSAGE]]
+            assert math.isclose(x[quality_model.CLASSES + quality_model.PAIRS], math.log1p(sum(lens) / len(lens)), rel_tol=1e-5)
+            z = [(float(a) - float(b)) / float(c) for a, b, c in zip(x, model.mean, model.scale)]
+            e = [tanh(sum(z[i] * p["W"][i, j] for i in range(len(z))) + p["b"][j]) for j in range(quality_model.HIDDEN)]
+            g = [tanh(sum(e[i] * p["V"][i, j] for i in range(len(e)))) * sigmoid(sum(e[i] * p["U"][i, j] for i in range(len(e)))) for j in range(quality_model.GATE)]
+            encoded.append(e)
+            weights.append(math.exp(sum(a * b for a, b in zip(g, p["w"]))))
+        pooled = [sum(w * e[j] for w, e in zip(weights, encoded)) / sum(weights) for j in range(quality_model.HIDDEN)]
+        score = sigmoid(sum(a * b for a, b in zip(pooled, p["c"])) + p["d"][0])
+        assert math.isclose(rows[r.doc_id].score, score, rel_tol=1e-4, abs_tol=1e-6)
+
+
+def test_quality_of_a_text_is_the_same_in_any_batch():
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("ab \n#é", k=rng.randint(0, 900))).encode() for _ in range(60)] + [b"", b"   ", b"\n\n a", b"\xc3\xa9"]
+    alone = [quality_model.encode_passages([t])[0] for t in texts]
+    x, first = quality_model.encode_passages(texts)
+    assert all(np.array_equal(a, x[lo:hi]) for a, lo, hi in zip(alone, first[:-1], first[1:]))
+
+
+def test_toxicity_and_language_of_a_text_are_the_same_in_any_batch():
+    rng = random.Random(10)
+    texts = ["".join(rng.choices("ab \n#é", k=rng.randint(0, 400))).encode() for _ in range(60)] + [b"", b"   ", b"\n\n a", b"\xc3\xa9"]
+    assert np.array_equal(language.counts(texts), np.concatenate([language.counts([t]) for t in texts]))
+    first, of, hashes = toxicity._terms(texts)
+    for i, t in enumerate(texts):
+        f, o, h = toxicity._terms([t])
+        mine = (of >= first[i]) & (of < first[i + 1])
+        assert f[-1] == first[i + 1] - first[i] and sorted(zip(o.tolist(), h.tolist())) == sorted(zip((of[mine] - first[i]).tolist(), hashes[mine].tolist()))

@@ -1,5 +1,6 @@
 import re
 from collections import Counter
+from itertools import count
 
 from quillgrid.llm import quality_rules as Q
 
@@ -48,3 +49,32 @@ def test_rules_that_reject_much_for_little_come_first(spark):
     df = spark.createDataFrame([(i, "a b c") for i in range(40)], "doc_id bigint, text string")
     assert Q.order_rules(df)[0].name == "few_words"
     assert Q.order_rules(df.limit(0)) == list(Q.BASE + Q.RULES)
+
+
+def test_order_follows_what_is_left_for_each_rule(spark, monkeypatch):
+    """A rule that rejects most rows, but none that an earlier rule leaves, comes after one that rejects few of them."""
+    rows = [(i, "# a b ") for i in range(60)] + [(i, "x " * 80 + "# " * 30) for i in range(60, 70)] + [(i, "word " * 80) for i in range(70, 100)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    rules = (Q.Rule("symbols_60", "n_symbols > 0 and n_words < 50"), Q.Rule("few_words", "n_words < 50"), Q.Rule("symbols", "n_symbols > 20"))
+    monkeypatch.setattr(Q, "_clock", count().__next__)  # all cost the same
+    assert [r.name for r in Q.order_rules(df, rules)] == ["symbols_60", "symbols", "few_words"]
+
+
+def test_what_later_rules_need_is_skipped(spark, monkeypatch):
+    """A measure that fails when it is computed proves for which rows it is: all but those that the base or an earlier rule rejects."""
+    monkeypatch.setitem(Q.LAZY, "n_trap", "if(n_words < 50 or n_symbols > 0, raise_error('computed'), 0)")
+    rules = (Q.Rule("symbols", "n_symbols > 0"), Q.Rule("trap", "n_trap > 1"))
+    monkeypatch.setattr(Q, "order_rules", lambda docs, rules, **k: list(rules))
+    words = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(1, "a b"), (2, words + " #"), (3, words)], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.kept) for r in Q.quality_verdicts(df, rules).collect()) == [(1, False), (2, False), (3, True)]
+    kept = Q.quality_filter(df, (Q.BASE[0], *rules)).collect()
+    assert [r.doc_id for r in kept] == [3]
+
+
+def test_rules_on_letters_ellipses_and_bullets(spark):
+    words = " ".join(f"word{i}" for i in range(60))
+    lines = lambda head, tail, n: "\n".join(f"{head}{words[i * 9 : i * 9 + 9]} {i}{tail}" for i in range(n))
+    texts = [" ".join(str(i) for i in range(60)), lines("", " ...", 20), lines("", "…\r", 20), lines("- ", "", 20), lines(" • ", "", 18) + "\nplain\nplain too", lines("", ".", 20), words]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.doc_id for r in Q.quality_verdicts(df).where("kept").collect()} == {4, 5, 6}
