@@ -48,10 +48,18 @@ def decimal_text(text: Column, pattern: str) -> Column:
     return F.when(plain.rlike(f"^(?:{pattern})"), plain).otherwise(digits)
 
 
+def _parsed(text: Column, formats: list[str]) -> Column:
+    return F.coalesce(*(F.try_to_timestamp(F.trim(F.coalesce(text, F.lit(""))), F.lit(f)) for f in formats))
+
+
 def date_text(text: Column, out: str, formats: list[str]) -> Column:
-    """The first format that parses, written as `out`; null where none does."""
-    trimmed = F.trim(F.coalesce(text, F.lit("")))
-    return F.date_format(F.coalesce(*(F.try_to_timestamp(trimmed, F.lit(f)) for f in formats)), out)
+    """The first format that parses, written as `out`; a text that none parses stays as it is (date_error() names it)."""
+    return F.coalesce(F.date_format(_parsed(text, formats), out), text)
+
+
+def date_error(text: Column, out: str, formats: list[str]) -> Column:
+    """The error of a text that no format parses; else null."""
+    return F.when(_parsed(text, formats).isNull(), F.lit(f"no date like {out}"))
 
 
 def numeric(text: Column) -> Column:
@@ -82,8 +90,18 @@ def script_language(text: Column) -> Column:
 
 
 def json_set(props: Column, path: str, value: Column) -> Column:
-    """A top-level key of a JSON object set to a value."""
-    return F.to_json(F.map_concat(F.map_filter(F.from_json(props, "map<string,string>"), lambda k, _: k != path), F.create_map(F.lit(path), value.cast("string"))))
+    """A JSON object with the value at `path` (keys joined by dots) set or added; null for null or for text that is no object.
+
+    Everything else keeps its type; where a key on the way is missing, or no object, nothing changes.
+    """
+    key, _, rest = path.partition(".")
+    fields = F.from_json(props, "map<string,variant>")
+    if not rest:
+        new = F.parse_json(F.regexp_extract(F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"}), r'^\{"v":(.*)\}$', 1))
+        return F.to_json(F.map_concat(F.map_filter(fields, lambda k, _: k != key), F.create_map(F.lit(key), new)))
+    inner = json_set(F.to_json(F.element_at(fields, key)), rest, value)
+    changed = F.to_json(F.transform_values(fields, lambda k, v: F.when((k == key) & inner.isNotNull(), F.try_parse_json(inner)).otherwise(v)))
+    return F.when(F.map_contains_key(fields, key) & inner.isNotNull(), changed).otherwise(F.when(fields.isNotNull(), props))
 
 
 def safe_float(text: Column) -> Column:

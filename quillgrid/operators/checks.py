@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -41,14 +42,17 @@ def column_checks(df: DataFrame, checks: Mapping[str, Mapping[str, Mapping[str,
 
 def table_checks(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
     """check_name, passed: an aggregate condition, or a row condition that every row must meet."""
-    aggregate = lambda sql: any(f"{f}(" in sql.lower().replace(" ", "") for f in ("count", "sum", "min", "max", "avg"))
+    aggregate = lambda sql: re.search(r"\b(count|sum|min|max|avg)\s*\(", sql.lower()) is not None
     named = list(checks.items())
     row = df.agg(*((F.expr(q) if aggregate(q) else F.min(F.when(F.expr(q), 1).otherwise(0)) == 1).alias(f"v{i}") for i, (_, q) in enumerate(named)))
     return row.select(F.inline(F.array(*(F.struct(F.lit(n).alias("check_name"), F.coalesce(F.col(f"v{i}"), F.lit(False)).alias("passed")) for i, (n, _) in enumerate(named)))))
 
 
-def value_check(df: DataFrame, passes: float, tolerance: float | None = None) -> DataFrame:
-    """Every numeric cell of the first row against a value, exactly or within a share of it."""
+def value_check(df: DataFrame, passes: float | str, tolerance: float | None = None) -> DataFrame:
+    """Every cell of the first row against a value: numbers exactly or within a share of it, a text by the cells' texts."""
+    if isinstance(passes, str):
+        ok = reduce(Column.__and__, [F.col(c).cast("string") == passes for c in df.columns])
+        return df.limit(1).select(*df.columns, F.coalesce(ok, F.lit(False)).alias("passed"))
     low, high = (passes * (1 - tolerance), passes * (1 + tolerance)) if tolerance is not None else (passes, passes)
     ok = reduce(Column.__and__, [F.col(c).cast("double").between(low, high) for c in df.columns])
     return df.limit(1).select(*df.columns, F.coalesce(ok, F.lit(False)).alias("passed"))
@@ -82,8 +86,23 @@ def rule_violations(df: DataFrame, key: str, rules: Mapping[str, str]) -> DataFr
     return df.select(key, F.explode(F.filter(broken, lambda x: x.isNotNull())).alias("rule"))
 
 
+def truthy(df: DataFrame, column: str) -> Column:
+    """Whether a cell counts as true: no null, no zero of any number type, no empty text, array or map, not false. The text "0" is true."""
+    kind, c = dict(df.dtypes)[column].split("<")[0].split("(")[0], F.col(f"`{column}`")
+    if kind == "boolean":
+        ok = c
+    elif kind in ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal"):
+        ok = c != 0
+    elif kind in ("string", "char", "varchar", "binary"):
+        ok = F.length(c) > 0
+    elif kind in ("array", "map"):
+        ok = F.size(c) > 0
+    else:
+        ok = c.isNotNull()
+    return F.coalesce(ok, F.lit(False))
+
+
 def all_truthy(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """passed: whether the first row exists and all its cells are truthy."""
-    columns = columns or df.columns
-    ok = reduce(Column.__and__, [F.coalesce(F.col(c).cast("string"), F.lit("")).isin("", "0", "0.0", "false") == F.lit(False) for c in columns])
+    ok = reduce(Column.__and__, [truthy(df, c) for c in columns or df.columns])
     return df.limit(1).agg(F.coalesce(F.bool_and(ok), F.lit(False)).alias("passed"))

@@ -55,10 +55,11 @@ def first_run(df: DataFrame, by: Sequence[str], flag: str, order: str, least: in
 
 
 def join_words(df: DataFrame, by: Sequence[str], text: str, left: str, width: str, height: str, share: float = 0.55) -> DataFrame:
-    """One text per line: a space only where the gap to the next word exceeds `share` of the mean height."""
+    """One text per line: a space unless the gap to the next word is below `share` of the mean height of the words that have one."""
     along, whole = Window.partitionBy(*by).orderBy(left), Window.partitionBy(*by)
     gap = F.lead(left).over(along) - (F.col(left) + F.col(width))
-    tail = F.when(gap.isNull() | (gap <= share * F.avg(height).over(whole)), F.lit("")).otherwise(F.lit(" "))
+    tall = F.avg(F.when(F.col(height) > 0, F.col(height))).over(whole)
+    tail = F.when(gap.isNull() | F.coalesce(gap < share * tall, F.lit(False)), F.lit("")).otherwise(F.lit(" "))
     df = df.select(*by, F.row_number().over(along).alias("_k"), F.concat(text, tail).alias("_t"))
     return df.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_t"))), lambda s: s["_t"]), "").alias("text"))
 
@@ -77,16 +78,34 @@ def template_row(row: Column, first: Column, count: Column) -> Column:
     return F.pmod(row - first, count) + first
 
 
-def expand_template(template: DataFrame, grid_rows: DataFrame, by: Sequence[str], step: str, needed: str, row: str = "row") -> DataFrame:
-    """Template rows repeated with shifted row numbers until they cover the grid's rows."""
-    joined = template.join(grid_rows, list(by))
-    k = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col(needed) / F.col(step)).cast("int") - 1, F.lit(0))))
-    return joined.withColumn("repeat", k).withColumn(row, F.col(row) + F.col(step) * F.col("repeat"))
+def expand_template(template: DataFrame, grid_rows: DataFrame, by: Sequence[str], needed: str, row: str = "row", kind: str = "cell_type") -> DataFrame:
+    """Template cells, those of kind `val` repeated with shifted row numbers until the template's rows reach the grid's `needed` rows; adds repeat (0: as given).
+
+    What repeats is as high as the value rows reach; other cells (headers) stay at their place, once.
+    """
+    val = F.when(F.col(kind) == "val", F.col(row))
+    size = template.groupBy(*by).agg(F.max(row).alias("_last"), (F.max(val) - F.min(val) + 1).alias("_step"))
+    joined = template.join(size, list(by)).join(grid_rows, list(by))
+    more = F.when((F.col(kind) == "val") & (F.col(needed) > F.col("_last")), F.ceil((F.col(needed) - F.col("_last")) / F.col("_step"))).otherwise(0).cast("int")
+    out = joined.withColumn("repeat", F.explode(F.sequence(F.lit(0), more)))
+    return out.withColumn(row, (F.col(row) + F.col("_step") * F.col("repeat")).cast("int")).drop("_last", "_step")
 
 
-def record_numbers(cells: DataFrame, by: Sequence[str], column: str, order: str) -> DataFrame:
-    """Adds record_no: the occurrence of each column, which starts a new record when it comes again."""
-    return cells.withColumn("record_no", F.row_number().over(Window.partitionBy(*by, column).orderBy(order)))
+def record_numbers(cells: DataFrame, by: Sequence[str], column: str, order: Sequence[str]) -> DataFrame:
+    """Adds record_no: reading each group in order, a new record starts where a column comes that the current record already has.
+
+    Where records start depends on where the one before started, so it is folded over each group's repeated columns (their places only); the numbers
+    themselves are a running count.
+    """
+    along = Window.partitionBy(*by).orderBy(*order)
+    cells = cells.withColumn("_k", F.row_number().over(along))
+    cells = cells.withColumn("_before", F.coalesce(F.lag("_k").over(Window.partitionBy(*by, column).orderBy("_k")), F.lit(0)))
+    again = cells.where("_before > 0").groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_k", "_before"))).alias("_a"))
+    starts = F.aggregate("_a", F.array(F.lit(1)), lambda s, x: F.when(x["_before"] >= F.element_at(s, -1), F.concat(s, F.array(x["_k"]))).otherwise(s))
+    starts = again.select(*(F.col(b).alias(f"_b{i}") for i, b in enumerate(by)), F.explode(F.slice(starts, F.lit(2), F.size(starts))).alias("_start"))
+    same = [F.col(b).eqNullSafe(F.col(f"_b{i}")) for i, b in enumerate(by)]
+    joined = cells.join(starts, [*same, F.col("_k") == F.col("_start")], "left")
+    return joined.withColumn("record_no", (1 + _gap_sum(F.col("_start").isNotNull(), along)).cast("int")).drop("_k", "_before", "_start", *(f"_b{i}" for i in range(len(by))))
 
 
 def first_seen(df: DataFrame, by: Sequence[str], field: str, order: str) -> DataFrame:

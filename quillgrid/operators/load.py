@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Columns that one wide table may have.
+MOST_COLUMNS = 10_000
+
+
 def assign_keys(df: DataFrame, name: str, order: Sequence[str], start: int = 0, partitions: Sequence[str] = (), rows_per_range: int = 1_000_000) -> DataFrame:
     """Dense keys after `start` in the given order, or from 1 within each of `partitions`.
 
@@ -33,6 +38,35 @@ def assign_keys(df: DataFrame, name: str, order: Sequence[str], start: int = 0,
     return local.withColumn(name, F.col("_before") + F.col("_k") + start).drop("_range", "_before", "_k")
 
 
+def insert_plan(tables: Mapping[str, tuple[DataFrame, str | None]], start: Mapping[str, int] | None = None) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """What to insert, at any depth: (rows by table with their pk and parent_pk), (doc_id, table_name, pk) of all, (doc_id, table_name, _id, reason) of what can't be.
+
+    tables: name to (rows with doc_id, _id, _par_id, parent table or None). Parents come first. A table without a parent takes exactly one record of a
+    document: several are an error of all of them, and what hangs on them fails, too. A row whose _par_id names no inserted row of its document fails. Keys
+    are dense after `start` in the order of doc_id and _id.
+    """
+    done: dict[str, DataFrame] = {}
+    failed: list[DataFrame] = []
+    todo = dict(tables)
+    while todo:
+        ready = [n for n, (_, parent) in todo.items() if parent is None or parent in done]
+        if not ready:
+            raise ValueError(f"tables without a way to a root: {sorted(todo)}")
+        for name in ready:
+            rows, parent = todo.pop(name)
+            if parent is None:
+                rows = rows.withColumn("_n", F.count("*").over(Window.partitionBy("doc_id"))).withColumn("parent_pk", F.lit(None).cast("bigint"))
+                bad, reason = F.col("_n") > 1, "several roots"
+            else:
+                heads = done[parent].select(F.col("doc_id").alias("_doc"), F.col("_id").alias("_head"), F.col("pk").cast("bigint").alias("parent_pk"))
+                rows = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_par_id") == F.col("_head")), "left").drop("_doc", "_head").withColumn("_n", F.lit(1))
+                bad, reason = F.col("parent_pk").isNull(), "parent missing"
+            failed.append(rows.where(bad).select("doc_id", F.lit(name).alias("table_name"), "_id", F.lit(reason).alias("reason")))
+            done[name] = assign_keys(rows.where(~bad).drop("_n"), "pk", ["doc_id", "_id"], (start or {}).get(name, 0))
+    kept = reduce(DataFrame.unionByName, [d.select("doc_id", F.lit(n).alias("table_name"), F.col("pk").cast("bigint").alias("pk")) for n, d in done.items()])
+    return done, kept, reduce(DataFrame.unionByName, failed)
+
+
 def child_rows(children: DataFrame, parents: DataFrame, on: Sequence[str], parent_key: str) -> DataFrame:
     """Children with their parent's key; children without a parent are left to violations()."""
     return children.join(parents.select(*on, parent_key), list(on))
@@ -47,7 +81,11 @@ def violations(children: DataFrame, parents: DataFrame, on: Sequence[str], key:
 
 def wide(cells: DataFrame, by: Sequence[str], name: str, value: str, names: Sequence[str] | None = None) -> DataFrame:
     """One row per record, columns in sorted order of their names; missing cells are empty."""
-    names = sorted(names if names is not None else [r[0] for r in cells.select(name).distinct().limit(10_000).collect()])
+    if names is None:
+        names = [r[0] for r in cells.select(name).distinct().limit(MOST_COLUMNS + 1).collect()]
+        if len(names) > MOST_COLUMNS:
+            raise ValueError(f"more than {MOST_COLUMNS} columns; a sheet can't be made of them")
+    names = sorted(names)
     return cells.groupBy(*by).pivot(name, names).agg(F.max(value)).na.fill("", names)
 
 

@@ -31,13 +31,18 @@ def trigger(df: DataFrame, by: list[str], state: str) -> DataFrame:
 
 
 def cartesian(lists: Mapping[str, Column], df: DataFrame, keep: list[str]) -> DataFrame:
-    """All combinations of a row's lists with map_index, the last list fastest. Product sizes are the feature: at most MOST_MAPPED per row are kept."""
+    """All combinations of a row's lists with map_index, the last list fastest. A row with more than MOST_MAPPED combinations is an error."""
+    size = None
+    for values in lists.values():
+        size = F.size(values).cast("bigint") if size is None else size * F.size(values)
+    many = F.raise_error(F.concat(F.lit("combinations of one row, of which "), F.lit(str(MOST_MAPPED)), F.lit(" may be mapped: "), size.cast("string")))
+    df = df.withColumn("_most", F.when(size > MOST_MAPPED, many.cast("int")).otherwise(F.lit(0)))
     for i, (name, values) in enumerate(lists.items()):
         df = df.select("*", F.posexplode(values).alias(f"_p{i}", name))
-    index = None
+    index = F.col("_most")
     for i, values in enumerate(lists.values()):
-        index = F.col(f"_p{i}") if index is None else index * F.size(values) + F.col(f"_p{i}")
-    return df.select(*keep, *lists, index.cast("int").alias("map_index")).where(F.col("map_index") < MOST_MAPPED)
+        index = index * F.size(values) + F.col(f"_p{i}")
+    return df.select(*keep, *lists, index.cast("int").alias("map_index"))
 
 
 def zipped(a: Column, b: Column, longest: bool) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 from collections.abc import Sequence
 from functools import reduce
 
@@ -63,15 +65,34 @@ def union_counts(parts: Sequence[tuple[str, DataFrame]], by: Sequence[str], stat
     return every.join(counts, [*by, state], "left").select(*by, state, F.coalesce("count", F.lit(0)).alias("n"))
 
 
-def hierarchy(edges: DataFrame, node: str, parent: str, depth: int = 50) -> DataFrame:
-    """(node, ancestor, level) for every ancestor, by a recursive query."""
-    edges.select(F.col(node).alias("node"), F.col(parent).alias("parent")).createOrReplaceTempView("_hierarchy_edges")
-    return edges.sparkSession.sql(f"""
-        WITH RECURSIVE up(node, ancestor, level) AS (
-            SELECT node, parent, 1 FROM _hierarchy_edges WHERE parent IS NOT NULL
-            UNION ALL
-            SELECT u.node, e.parent, u.level + 1 FROM up u JOIN _hierarchy_edges e ON e.node = u.ancestor WHERE e.parent IS NOT NULL AND u.level < {depth})
-        SELECT node, ancestor, level FROM up""")
+def settle(df: DataFrame) -> DataFrame:
+    """df, computed once in the folder that spark.checkpoint.dir names (a temporary one only where that is unset and all runs on one machine)."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quillgrid-"))
+    return df.checkpoint(eager=True)
+
+
+def hierarchy(edges: DataFrame, node: str, parent: str) -> DataFrame:
+    """(node, ancestor, level) for every ancestor at any depth, by doubling: each round joins the farthest ancestors known with all of theirs.
+
+    A chain of n nodes takes log2 n rounds. Nodes in a circle would have ancestors without end: they are an error.
+    """
+    up = edges.where(F.col(parent).isNotNull()).select(F.col(node).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("level")).distinct()
+    up, reach = settle(up), 1
+    nodes = up.select("node").distinct().count()
+    while True:
+        far = up.where(F.col("level") == reach).select("node", F.col("ancestor").alias("via"))
+        more = far.join(up.select(F.col("node").alias("via"), "ancestor", (F.col("level") + reach).alias("level")), "via").select("node", "ancestor", "level")
+        more = settle(more)
+        if more.isEmpty():
+            return up
+        if reach > nodes:
+            raise ValueError("the hierarchy has a circle")
+        up, reach = settle(up.unionByName(more)), reach * 2
 
 
 def page_merge(pages: DataFrame, by: Sequence[str], page: str, rows: str) -> DataFrame:

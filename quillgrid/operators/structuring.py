@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgrid.functions.text import same_key
+from quillgrid.operators.grid import expand_template, record_numbers
 
 #: Section kinds. Fixed values.
 STATIC, ONE_ROW, MULTI_ROW = "STATIC_TEXT", "ONE_ROW", "MULTI_ROW"
@@ -13,35 +14,36 @@ STATIC, ONE_ROW, MULTI_ROW = "STATIC_TEXT", "ONE_ROW", "MULTI_ROW"
 
 def match_template(blocks: DataFrame, template: DataFrame) -> DataFrame:
     """Template cells (section, kind, row, col, cell_type key/val, table_name, column_name, default_text) with the block (doc_id, section, row, col, text) at
-    their place. Sections of repeated rows use the template again for every further group of rows; a cell without a block has null text."""
-    size = template.groupBy("section").agg(F.min("row").alias("first"), (F.max("row") - F.min("row") + 1).alias("rows"))
-    placed = blocks.join(F.broadcast(size), "section")  # the template is one document class: hundreds of cells
-    repeat = F.floor((F.col("row") - F.col("first")) / F.col("rows"))
-    kinds = template.select("section", "kind").distinct()
-    placed = placed.join(F.broadcast(kinds), "section").withColumn("repeat", F.when(F.col("kind") == MULTI_ROW, repeat).otherwise(0).cast("int"))
-    placed = placed.withColumn("row", (F.col("row") - F.col("repeat") * F.col("rows")).cast("int"))
-    groups = placed.select("doc_id", "section", "repeat").distinct()
-    cells = groups.join(F.broadcast(template), "section")
-    return cells.join(placed.select("doc_id", "section", "repeat", "row", "col", "text"), ["doc_id", "section", "repeat", "row", "col"], "left")
+    their place. In sections of repeated rows the value cells come again, shifted by the height of the value rows, until they reach as many rows as the
+    section has blocks in; key cells stay. A cell without a block has null text; found tells whether there is a block."""
+    rows = blocks.groupBy("doc_id", "section").agg(F.count_distinct("row").alias("_rows"))
+    kinds = template.groupBy("section").agg(F.max("kind").alias("_kind"))
+    rows = rows.join(F.broadcast(kinds), "section").withColumn("needed", F.when(F.col("_kind") == MULTI_ROW, F.col("_rows")).otherwise(0)).drop("_rows", "_kind")
+    cells = expand_template(F.broadcast(template), rows, ["section"], "needed")  # the template is one document class: hundreds of cells
+    placed = blocks.select("doc_id", "section", "row", "col", "text", F.lit(True).alias("found"))
+    return cells.drop("needed").join(placed, ["doc_id", "section", "row", "col"], "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 def records(matched: DataFrame) -> DataFrame:
-    """doc_id, table_name, record_no, column_name, text of value cells. One-row sections make one record per table (the last of equal columns wins); repeated
-    sections start a record when a column comes again."""
-    values = matched.where((F.col("cell_type") == "val") & F.col("text").isNotNull() & (F.col("kind") != STATIC))
-    place = F.struct("repeat", "row", "col")
-    again = Window.partitionBy("doc_id", "section", "table_name", "column_name").orderBy(place)
-    values = values.withColumn("record_no", F.when(F.col("kind") == MULTI_ROW, F.row_number().over(again)).otherwise(1))
-    return values.groupBy("doc_id", "section", "table_name", "record_no", "column_name").agg(F.max_by("text", place).alias("text"))
+    """doc_id, section, table_name, record_no, column_name, text of value cells. One-row sections make one record per table (the last of equal columns wins);
+    in repeated sections a record ends where a column comes that it already has. A cell without a block keeps its place, so nothing moves into another
+    record; it has no row here but one in missing_blocks()."""
+    values = matched.where((F.col("cell_type") == "val") & (F.col("kind") != STATIC))
+    by = ["doc_id", "section", "table_name"]
+    order = ["repeat", "row", "col"]
+    one = values.where(F.col("kind") != MULTI_ROW).withColumn("record_no", F.lit(1))
+    values = record_numbers(values.where(F.col("kind") == MULTI_ROW), by, "column_name", order).unionByName(one).where("found")
+    return values.groupBy(*by, "record_no", "column_name").agg(F.max_by(F.coalesce("text", F.lit("")), F.struct(*order)).alias("text"))
 
 
 def key_mismatches(matched: DataFrame) -> DataFrame:
     """Key cells whose text isn't the template's, but for spaces."""
-    return matched.where((F.col("cell_type") == "key") & F.col("text").isNotNull() & ~same_key(F.col("text"), F.col("default_text"))).select("doc_id", "section", "repeat", "row", "col", "text", "default_text")
+    return matched.where((F.col("cell_type") == "key") & F.col("found") & ~same_key(F.coalesce("text", F.lit("")), F.coalesce("default_text", F.lit("")))).select("doc_id", "section", "repeat", "row", "col", "text", "default_text")
 
 
 def missing_blocks(matched: DataFrame) -> DataFrame:
-    return matched.where(F.col("text").isNull()).select("doc_id", "section", "repeat", "row", "col")
+    """Template cells without a block: rows to report instead of stopping at the first."""
+    return matched.where(~F.col("found")).select("doc_id", "section", "repeat", "row", "col", "default_text")
 
 
 def record_ids(rows: DataFrame, parents: dict[str, str]) -> DataFrame:

@@ -92,11 +92,13 @@ def decimal_normalise(spark, sf_dir):
 
 
 @query(
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS value FROM orders"""
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN 'no date' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS value,
+      CASE WHEN o_orderkey % 3 = 2 THEN 'no date like yyyy-MM-dd' END AS error FROM orders"""
 )
 def date_normalise(spark, sf_dir):
     raw = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy.MM.dd")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "yyyy/MM/dd")).otherwise("no date")
-    return read(spark, sf_dir, "orders").select("o_orderkey", T.date_text(raw, "yyyy-MM-dd", ["yyyy.MM.dd", "yyyy/MM/dd"]).alias("value"))
+    formats = ["yyyy.MM.dd", "yyyy/MM/dd"]
+    return read(spark, sf_dir, "orders").select("o_orderkey", T.date_text(raw, "yyyy-MM-dd", formats).alias("value"), T.date_error(raw, "yyyy-MM-dd", formats).alias("error"))
 
 
 @query(
@@ -125,10 +127,13 @@ def json_props_extract(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.page").alias("page"), F.get_json_object("props", "$.k").alias("k"))
 
 
-@query("SELECT event_id, 'done' AS status FROM events")
+@query(
+    """SELECT event_id, json_merge_patch(props, '{"status":"done"}')::VARCHAR AS props, json_merge_patch('{"n":[1,2.5],"o":' || props || '}', '{"o":{"status":7}}')::VARCHAR AS nested FROM events"""
+)
 def json_set_update(spark, sf_dir):
-    changed = read(spark, sf_dir, "events").select("event_id", T.json_set(F.col("props"), "status", F.lit("done")).alias("props"))
-    return changed.select("event_id", F.get_json_object("props", "$.status").alias("status"))
+    """A value set at the top and one level down; all the rest of both objects is compared, too."""
+    nested = T.json_set(F.concat(F.lit('{"n":[1,2.5],"o":'), F.col("props"), F.lit("}")), "o.status", F.lit(7))
+    return read(spark, sf_dir, "events").select("event_id", T.json_set(F.col("props"), "status", F.lit("done")).alias("props"), nested.alias("nested"))
 
 
 @query("SELECT c_custkey, replace(c_name, '#', ' ') AS shown, replace(c_mktsegment, ' ', '') = replace(c_mktsegment || ' ', ' ', '') AS same FROM customer")

@@ -5,50 +5,78 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillgrid.functions import imaging
-from quillgrid.operators import learning
+from quillgrid.operators import assembly, learning
 from quillgrid.operators import structuring as R
 from quillgrid.plans.catalogue import query, read
 
-#: Example template: per order one static row, and a two-row repeating section.
+#: Example template: a header row and a repeating unit of two value rows, and a section of one record.
 TEMPLATE = [
-    ("lines", "MULTI_ROW", 1, 1, "val", "t_line", "flag", None),
-    ("lines", "MULTI_ROW", 2, 1, "val", "t_line", "status", None),
-    ("head", "ONE_ROW", 1, 1, "key", None, None, "N"),
+    ("lines", "MULTI_ROW", 1, 1, "key", None, None, "N"),
+    ("lines", "MULTI_ROW", 2, 1, "val", "t_line", "flag", None),
+    ("lines", "MULTI_ROW", 3, 1, "val", "t_line", "status", None),
+    ("head", "ONE_ROW", 1, 1, "key", None, None, " N "),
     ("head", "ONE_ROW", 2, 1, "val", "t_head", "second", None),
 ]
+TEMPLATE_SCHEMA = "section string, kind string, row int, col int, cell_type string, table_name string, column_name string, default_text string"
 
 
 def _matched(spark, sf_dir):
-    li = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("f"))
+    """Lines 3 and 6 are missing from every fifth order, so values have gaps within their unit."""
+    li = read(spark, sf_dir, "lineitem").where("not (l_orderkey % 5 = 0 and l_linenumber % 3 = 0)").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("f"))
     blocks = li.select(F.col("l_orderkey").alias("doc_id"), F.explode(F.array(F.lit("lines"), F.lit("head"))).alias("section"), F.col("l_linenumber").alias("row"), F.lit(1).alias("col"), F.col("f").alias("text"))
-    template = spark.createDataFrame(TEMPLATE, "section string, kind string, row int, col int, cell_type string, table_name string, column_name string, default_text string")
-    return R.match_template(blocks.where("section = 'lines' or row <= 2"), template)
+    return R.match_template(blocks.where("section = 'lines' or row <= 2"), spark.createDataFrame(TEMPLATE, TEMPLATE_SCHEMA))
 
 
-_LI = "li AS (SELECT l_orderkey AS doc_id, l_linenumber AS row, max(l_returnflag) AS f FROM lineitem GROUP BY ALL)"
+#: Cells of the example as the template, repeated while its rows are fewer than the section's, asks for them; with the block's text.
+_CELLS = """li AS (SELECT l_orderkey AS doc_id, l_linenumber AS row, max(l_returnflag) AS f FROM lineitem WHERE NOT (l_orderkey % 5 = 0 AND l_linenumber % 3 = 0) GROUP BY ALL),
+    n AS (SELECT doc_id, count(*) AS n FROM li GROUP BY doc_id),
+    h AS (SELECT DISTINCT doc_id FROM li WHERE row <= 2),
+    want AS (SELECT doc_id, 'lines' AS section, 1 AS row, 'key' AS t, NULL AS c, 0 AS k FROM n
+      UNION ALL SELECT doc_id, 'lines', r + 2 * k, 'val', CASE r WHEN 2 THEN 'flag' ELSE 'status' END, k FROM n, (VALUES (2), (3)) AS v(r), (SELECT unnest(range(0, 9)) AS k) WHERE k = 0 OR 3 + 2 * (k - 1) < n
+      UNION ALL SELECT doc_id, 'head', 1, 'key', NULL, 0 FROM h UNION ALL SELECT doc_id, 'head', 2, 'val', 'second', 0 FROM h),
+    cells AS (SELECT want.*, li.f FROM want LEFT JOIN li ON li.doc_id = want.doc_id AND li.row = want.row)"""
 
 
 @query(
-    f"""WITH {_LI}, c AS (SELECT doc_id, 't_line' AS table_name, CASE WHEN row % 2 = 1 THEN 'flag' ELSE 'status' END AS column_name, row, f FROM li)
-    SELECT doc_id, table_name, row_number() OVER (PARTITION BY doc_id, column_name ORDER BY row)::INT AS record_no, column_name, f AS text FROM c
-    UNION ALL SELECT doc_id, 't_head', 1, 'second', f FROM li WHERE row = 2"""
+    f"""WITH {_CELLS} SELECT doc_id, CASE section WHEN 'lines' THEN 't_line' ELSE 't_head' END AS table_name, (k + 1)::INT AS record_no, c AS column_name, f AS text
+    FROM cells WHERE t = 'val' AND f IS NOT NULL"""
 )
 def structuring_by_type(spark, sf_dir):
     return R.records(_matched(spark, sf_dir)).select("doc_id", "table_name", "record_no", "column_name", "text")
 
 
-@query(f"WITH {_LI} SELECT doc_id, row, f AS text FROM li WHERE row = 1 AND f <> 'N'")
+@query(f"WITH {_CELLS} SELECT doc_id, section, row::INT AS row, f AS text FROM cells WHERE t = 'key' AND f <> 'N'")
 def key_mismatches(spark, sf_dir):
-    return R.key_mismatches(_matched(spark, sf_dir)).select("doc_id", "row", "text")
+    return R.key_mismatches(_matched(spark, sf_dir)).select("doc_id", "section", F.col("row").cast("int").alias("row"), "text")
+
+
+@query(f"WITH {_CELLS} SELECT doc_id, section, row::INT AS row FROM cells WHERE f IS NULL")
+def missing_blocks(spark, sf_dir):
+    return R.missing_blocks(_matched(spark, sf_dir)).select("doc_id", "section", F.col("row").cast("int").alias("row"))
 
 
 @query(
-    f"""WITH {_LI}, g AS (SELECT doc_id, (row - 1) // 2 AS k, count(DISTINCT row) AS n FROM li GROUP BY ALL),
-    h AS (SELECT doc_id, count(*) FILTER (row = 1) AS a, count(*) FILTER (row = 2) AS b, count(*) AS n FROM li WHERE row <= 2 GROUP BY doc_id)
-    SELECT doc_id, 'lines' AS section, count(*) AS missing FROM g WHERE n = 1 GROUP BY doc_id UNION ALL SELECT doc_id, 'head', 2 - n FROM h WHERE n < 2"""
+    """WITH li AS (SELECT l_orderkey AS doc_id, l_linenumber AS line, max(l_returnflag) AS f, max(l_linestatus) AS s FROM lineitem GROUP BY ALL),
+    g AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS row, replace(f, 'A', 'Re') AS f, s FROM li),
+    o AS (SELECT DISTINCT doc_id FROM g)
+    SELECT doc_id, 'record' AS kind, 't_line' AS table_name, (row - 1)::INT AS id, 'flag' AS column_name, f AS text FROM g WHERE row > 1
+    UNION ALL SELECT doc_id, 'record', 't_line', (row - 1)::INT, 'status', CASE s WHEN 'O' THEN 'open' ELSE s END FROM g WHERE row > 1
+    UNION ALL SELECT doc_id, 'mismatch', NULL, 1, NULL, f FROM g WHERE row = 1 AND f <> 'N' UNION ALL SELECT doc_id, 'mismatch', NULL, 1, NULL, s FROM g WHERE row = 1 AND s <> 'F'
+    UNION ALL SELECT o.doc_id, 'missing', NULL, 2, NULL, NULL FROM o JOIN (VALUES (1), (2)) AS v(c) ON true WHERE doc_id NOT IN (SELECT doc_id FROM g WHERE row = 2)"""
 )
-def missing_blocks(spark, sf_dir):
-    return R.missing_blocks(_matched(spark, sf_dir)).groupBy("doc_id", "section").agg(F.count("*").alias("missing"))
+def document_pipeline(spark, sf_dir):
+    """From recognised blocks to records: rows and columns by position, cleansing, both dictionaries, template, record numbers, and what doesn't fit.
+
+    Two blocks a line, 30 apart; texts with stray characters; `A` is a common error for `Re`, and a whole `O` in the second column stands for `open`.
+    """
+    li = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("f"), F.max("l_linestatus").alias("s"))
+    block = lambda x, text: F.struct(F.lit(float(x)).alias("x"), (F.col("l_linenumber") * F.lit(30.0)).alias("y"), text.alias("text"))
+    words = li.select(F.col("l_orderkey").alias("doc_id"), F.lit("lines").alias("section"), F.inline(F.array(block(5, F.concat(F.lit(" _"), "f", F.lit(" "))), block(90, F.concat("s", F.lit("%"))))))
+    template = [("lines", "MULTI_ROW", 1, 1, "key", None, None, "N"), ("lines", "MULTI_ROW", 1, 2, "key", None, None, "F"), ("lines", "MULTI_ROW", 2, 1, "val", "t_line", "flag", None), ("lines", "MULTI_ROW", 2, 2, "val", "t_line", "status", None)]
+    common = F.array(F.struct(F.lit("A").alias("err"), F.lit("Re").alias("fix")))
+    block_fixes = spark.createDataFrame([("lines", 2, 2, "O", "open")], "section string, row int, col int, error string, correct string")
+    done = assembly.structure(words, spark.createDataFrame(template, TEMPLATE_SCHEMA), common, block_fixes, gap=25)
+    return done.select("doc_id", "kind", "table_name", "id", "column_name", "text")
 
 
 @query(

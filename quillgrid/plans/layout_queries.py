@@ -38,13 +38,14 @@ for _m, _q in {"mean_std": "avg(g) + stddev_pop(g)", "median_std": "quantile_con
 
 
 @query(
-    """WITH w AS (SELECT o_custkey AS line, o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS t, o_orderkey * 10.0 AS x, 4.0 + o_orderkey % 7 AS w, 8.0 + o_orderkey % 3 AS h FROM orders),
-    g AS (SELECT *, lead(x) OVER (PARTITION BY line ORDER BY x) - (x + w) AS gap, 0.55 * avg(h) OVER (PARTITION BY line) AS lim FROM w)
-    SELECT line, string_agg(t || CASE WHEN gap IS NULL OR gap <= lim THEN '' ELSE ' ' END, '' ORDER BY x) AS text FROM g GROUP BY line"""
+    """WITH w AS (SELECT o_custkey AS line, o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS t, o_orderkey / 250.0 AS x, 4.0 + o_orderkey % 7 AS w, 4.0 * (o_orderkey % 4) AS h FROM orders),
+    m AS (SELECT line, 0.55 * avg(h) FILTER (h > 0) AS lim FROM w GROUP BY line),
+    g AS (SELECT w.*, lim, lead(x) OVER (PARTITION BY w.line ORDER BY x) - (x + w) AS gap FROM w JOIN m ON m.line = w.line)
+    SELECT line, string_agg(t || CASE WHEN gap IS NULL THEN '' WHEN gap < lim THEN '' ELSE ' ' END, '' ORDER BY x) AS text FROM g GROUP BY line"""
 )
 def word_join_spacing(spark, sf_dir):
     o = read(spark, sf_dir, "orders")
-    w = o.select(F.col("o_custkey").alias("line"), F.col("o_orderkey").cast("string").alias("t"), (F.col("o_orderkey") * F.lit(10.0)).alias("x"), (F.lit(4.0) + F.col("o_orderkey") % 7).alias("w"), (F.lit(8.0) + F.col("o_orderkey") % 3).alias("h"))
+    w = o.select(F.col("o_custkey").alias("line"), F.col("o_orderkey").cast("string").alias("t"), (F.col("o_orderkey") / F.lit(250.0)).alias("x"), (F.lit(4.0) + F.col("o_orderkey") % 7).alias("w"), (F.lit(4.0) * (F.col("o_orderkey") % 4)).alias("h"))
     return G.join_words(w, ["line"], "t", "x", "w", "h")
 
 
@@ -63,18 +64,27 @@ def segment_merge_lengths(spark, sf_dir):
 
 
 @query(
-    """WITH t AS (SELECT l_orderkey, max(l_linenumber) AS needed FROM lineitem GROUP BY l_orderkey), k AS (SELECT unnest(range(0, 10)) AS k), r AS (SELECT unnest([1, 2]) AS r)
-    SELECT l_orderkey, (r + 2 * k)::INT AS row, k::INT AS repeat FROM t, r, k WHERE k < greatest(ceil(needed / 2.0), 1)"""
+    """WITH t AS (SELECT l_orderkey, max(l_linenumber) AS needed FROM lineitem GROUP BY l_orderkey), k AS (SELECT unnest(range(0, 10)) AS k), r AS (SELECT unnest([2, 3]) AS r)
+    SELECT l_orderkey, 1::INT AS row, 'key' AS cell_type, 0::INT AS repeat FROM t
+    UNION ALL SELECT l_orderkey, (r + 2 * k)::INT, 'val', k::INT FROM t, r, k WHERE k = 0 OR 3 + 2 * (k - 1) < needed"""
 )
 def multirow_template_expand(spark, sf_dir):
+    """A header row and a unit of two value rows: the unit comes again until the template has as many rows as the order has lines."""
     needed = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_linenumber").alias("needed"))
-    template = needed.select("l_orderkey", F.explode(F.array(F.lit(1), F.lit(2))).alias("row"), F.lit(2).alias("step"))
-    return G.expand_template(template, needed, ["l_orderkey"], "step", "needed").select("l_orderkey", F.col("row").cast("int"), F.col("repeat").cast("int"))
+    cells = spark.createDataFrame([("t", 1, "key"), ("t", 2, "val"), ("t", 3, "val")], "section string, row int, cell_type string")
+    return G.expand_template(F.broadcast(cells), needed.withColumn("section", F.lit("t")), ["section"], "needed").select("l_orderkey", "row", "cell_type", "repeat")
 
 
-@query("SELECT event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id)::INT AS record_no FROM events")
+@query(
+    """WITH RECURSIVE s AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+    p AS (SELECT *, coalesce(lag(k) OVER (PARTITION BY user_id, event_type ORDER BY k), 0) AS before FROM s),
+    f(user_id, event_id, k, rec, st) AS (SELECT user_id, event_id, k, 1, 1::BIGINT FROM p WHERE k = 1
+      UNION ALL SELECT p.user_id, p.event_id, p.k, f.rec + CASE WHEN p.before >= f.st THEN 1 ELSE 0 END, CASE WHEN p.before >= f.st THEN p.k ELSE f.st END FROM f JOIN p ON p.user_id = f.user_id AND p.k = f.k + 1)
+    SELECT event_id, rec::INT AS record_no FROM f"""
+)
 def record_break(spark, sf_dir):
-    return G.record_numbers(read(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id").select("event_id", "record_no")
+    """Events as cells, their types as columns: a record ends where a type comes that it already has."""
+    return G.record_numbers(read(spark, sf_dir, "events"), ["user_id"], "event_type", ["event_id"]).select("event_id", "record_no")
 
 
 @query(
@@ -106,8 +116,8 @@ def bbox_normalise(spark, sf_dir):
 @query(
     """WITH t AS (SELECT l_orderkey, l_linenumber, l_linenumber * 1.0 AS x, l_quantity AS y, 3.0 AS w, 5.0 AS h, 90 * (l_linenumber % 4) AS a FROM lineitem)
     SELECT l_orderkey, l_linenumber,
-      CASE a WHEN 90 THEN 100 - y - h + 7 WHEN 180 THEN 100 - x - w + 7 WHEN 270 THEN y + 7 ELSE x + 7 END AS bx,
-      CASE a WHEN 90 THEN x + 9 WHEN 180 THEN 200 - y - h + 9 WHEN 270 THEN 200 - x - w + 9 ELSE y + 9 END AS by_,
+      CASE a WHEN 90 THEN 100 - y - h + 7 WHEN 180 THEN 7 + x WHEN 270 THEN y + 7 ELSE x + 7 END AS bx,
+      CASE a WHEN 90 THEN x + 9 WHEN 180 THEN 200 - h + 9 - y WHEN 270 THEN x + 9 ELSE y + 9 END AS by_,
       CASE WHEN a IN (90, 270) THEN h ELSE w END AS bw FROM t"""
 )
 def box_reorient(spark, sf_dir):
@@ -117,16 +127,29 @@ def box_reorient(spark, sf_dir):
     return t.select("l_orderkey", "l_linenumber", F.get("b", F.lit(0)).alias("bx"), F.get("b", F.lit(1)).alias("by_"), F.get("b", F.lit(2)).alias("bw"))
 
 
+_CROP = """c AS (SELECT *, greatest(0, sx) AS x1, greatest(0, sy) AS y1, least(pw, sx + cw) AS x2, least(ph, sy + ch) AS y2 FROM t)
+    SELECT p_partkey, CASE WHEN x1 < x2 AND y1 < y2 THEN x1 ELSE 0 END::INT AS x, CASE WHEN x1 < x2 AND y1 < y2 THEN y1 ELSE 0 END::INT AS y,
+      CASE WHEN x1 < x2 AND y1 < y2 THEN x2 - x1 ELSE pw END::INT AS w, CASE WHEN x1 < x2 AND y1 < y2 THEN y2 - y1 ELSE ph END::INT AS h FROM c"""
+
+
+def _crop_columns(df, crop):
+    return df.select("p_partkey", crop.alias("c")).select("p_partkey", *(F.get("c", F.lit(i)).cast("int").alias(n) for i, n in enumerate("xywh")))
+
+
+@query(f"WITH t AS (SELECT p_partkey, 100 AS pw, 80 AS ph, 100 - 3 * p_size AS sx, 3 * p_size - 25 AS sy, 20 AS cw, 80 - (3 * p_size - 25) AS ch FROM part), {_CROP}")
+def anchored_crop_geometry(spark, sf_dir):
+    """From the top right corner: sizes that fit, that the page cuts and, below the page, none (the whole page)."""
+    s = F.col("p_size") * 3
+    return _crop_columns(read(spark, sf_dir, "part"), B.anchored_crop("top_right", F.lit(100), F.lit(80), -s, s - 25, F.lit(20), F.lit(-1)))
+
+
 @query(
-    """WITH t AS (SELECT p_partkey, p_size, 100 AS pw, 80 AS ph FROM part), c AS (SELECT p_partkey, least(greatest(floor(pw - p_size - 20), 0), pw)::INT AS x, least(greatest(floor(p_size - 5), 0), ph)::INT AS y,
-      least(greatest(floor(pw - p_size - 20) + 20, 0), pw)::INT AS r, ph::INT AS b FROM t)
-    SELECT p_partkey, x, y, r - x AS w, b - y AS h FROM c WHERE r > x AND b > y"""
+    f"""WITH s AS (SELECT p_partkey, 90 + p_size AS pw, 71 AS ph FROM part), t AS (SELECT *, pw // 2 + trunc(pw * -0.13)::INT AS sx, ph // 2 + trunc(ph * 0.21)::INT AS sy, trunc(pw * 0.37)::INT AS cw,
+      ph - (ph // 2 + trunc(ph * 0.21)::INT) AS ch FROM s), {_CROP}"""
 )
-def anchored_crop_geometry(spark, sf_dir):
-    lit, s = F.lit, F.col("p_size")
-    crop = B.anchored_crop("top_right", lit(100), lit(80), -s, s - 5, lit(20), lit(-1))
-    t = read(spark, sf_dir, "part").select("p_partkey", crop.alias("c")).where("c is not null")
-    return t.select("p_partkey", *(F.get("c", lit(i)).cast("int").alias(n) for i, n in enumerate("xywh")))
+def ratio_crop_geometry(spark, sf_dir):
+    """From the middle of the page, by shares of it."""
+    return _crop_columns(read(spark, sf_dir, "part"), B.ratio_crop("center", F.lit(90) + F.col("p_size"), F.lit(71), -0.13, 0.21, 0.37, -1))
 
 
 @query("SELECT l_orderkey, l_linenumber, round(coalesce(0.9 * l_discount + (1 - 0.9) * CASE WHEN l_linenumber = 1 THEN NULL ELSE l_tax END, l_discount), 6) AS score FROM lineitem")
@@ -202,7 +225,7 @@ def first_seen_dedup(spark, sf_dir):
 
 @query()
 def page_merge_fold(spark, sf_dir):
-    c = read(spark, sf_dir, "conversations").where("text is not null")
+    c = read(spark, sf_dir, "conversations")
     pages = c.select("conv_id", "turn", F.array(F.create_map(F.concat("role", (F.col("turn") % 3).cast("string")), F.col("text"))).alias("rows"))
     merged = R.page_merge(pages, ["conv_id"], "turn", "rows")
     return merged.select("conv_id", F.size("rows").alias("n_rows"), F.aggregate(F.transform("rows", F.size), F.lit(0), lambda a, b: a + b).alias("n_cells"))

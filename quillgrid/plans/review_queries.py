@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillgrid.operators import checks as C
@@ -132,6 +133,46 @@ def hierarchical_keys(spark, sf_dir):
     return D.assign_keys(rows, "child_no", ["l_linenumber"], 0, ["pk"]).select("pk", "l_linenumber", F.col("child_no").cast("int"))
 
 
+_INSERT = """o AS (SELECT o_custkey AS doc_id, o_orderkey FROM orders), c AS (SELECT doc_id, count(*) AS n FROM o GROUP BY doc_id),
+    roots AS (SELECT doc_id, 1 AS id, row_number() OVER (ORDER BY doc_id) + 100 AS pk FROM c WHERE n <= 9 AND n % 2 = 1),
+    mid AS (SELECT o.doc_id, o.o_orderkey AS id, row_number() OVER (ORDER BY o.doc_id, o.o_orderkey) AS pk, roots.pk AS parent_pk FROM o JOIN roots ON roots.doc_id = o.doc_id),
+    l AS (SELECT o.doc_id, l_orderkey, row_number() OVER (PARTITION BY o.doc_id ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS id FROM lineitem JOIN o ON o_orderkey = l_orderkey),
+    leaf AS (SELECT l.doc_id, l.id, row_number() OVER (ORDER BY l.doc_id, l.id) AS pk, mid.pk AS parent_pk FROM l JOIN mid ON mid.doc_id = l.doc_id AND mid.id = l.l_orderkey)"""
+
+
+def _insert(spark, sf_dir):
+    """Three levels: a customer's head rows (one; two for an even number of orders, which is an error, and none for more than nine), orders, lines."""
+    o = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("_id"))
+    heads = o.groupBy("doc_id").agg(F.count("*").alias("n")).where("n <= 9")
+    numbers = F.sequence(F.lit(1), F.when(F.col("n") % 2 == 1, 1).otherwise(2)).cast("array<bigint>")
+    heads = heads.select("doc_id", F.explode(numbers).alias("_id"), F.lit(0).cast("bigint").alias("_par_id"))
+    mid = o.withColumn("_par_id", F.lit(1).cast("bigint"))
+    li = read(spark, sf_dir, "lineitem").join(o.withColumnRenamed("_id", "_par_id"), F.col("l_orderkey") == F.col("_par_id"))
+    order = Window.partitionBy("doc_id").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    leaf = li.select("doc_id", F.row_number().over(order).cast("bigint").alias("_id"), "_par_id")
+    return D.insert_plan({"line": (leaf, "order"), "order": (mid, "head"), "head": (heads, None)}, {"head": 100})
+
+
+@query(f"WITH {_INSERT} SELECT doc_id, 'head' AS table_name, pk FROM roots UNION ALL SELECT doc_id, 'order', pk FROM mid UNION ALL SELECT doc_id, 'line', pk FROM leaf")
+def insert_complete_map(spark, sf_dir):
+    return _insert(spark, sf_dir)[1]
+
+
+@query(f"WITH {_INSERT} SELECT doc_id, id, pk, parent_pk FROM leaf")
+def insert_third_level(spark, sf_dir):
+    return _insert(spark, sf_dir)[0]["line"].select("doc_id", F.col("_id").alias("id"), F.col("pk").cast("bigint").alias("pk"), "parent_pk")
+
+
+@query(
+    f"""WITH {_INSERT}, b AS (SELECT doc_id, n FROM c WHERE n > 9 OR n % 2 = 0)
+    SELECT doc_id, 'head' AS table_name, i::BIGINT AS id, 'several roots' AS reason FROM b, (VALUES (1), (2)) AS v(i) WHERE n <= 9
+    UNION ALL SELECT o.doc_id, 'order', o_orderkey, 'parent missing' FROM o JOIN b ON b.doc_id = o.doc_id
+    UNION ALL SELECT l.doc_id, 'line', id, 'parent missing' FROM l JOIN b ON b.doc_id = l.doc_id"""
+)
+def insert_violations(spark, sf_dir):
+    return _insert(spark, sf_dir)[2].withColumnRenamed("_id", "id")
+
+
 @query("SELECT l_orderkey * 10 + l_linenumber AS id, 'parent missing' AS reason FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
 def hierarchy_violations(spark, sf_dir):
     children = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))

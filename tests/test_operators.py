@@ -1,5 +1,6 @@
 """Operators against plain Python definitions, and edge cases."""
 
+import json
 import random
 import re
 
@@ -110,8 +111,17 @@ def test_language_and_numbers(spark):
 def test_boxes(spark):
     one = spark.range(1)
     lit = F.lit
-    assert one.select(boxes.anchored_crop("middle_center", lit(100), lit(50), lit(0), lit(0), lit(20), lit(10))).first()[0] == [40, 20, 20, 10]
-    assert one.select(boxes.anchored_crop("top_left", lit(100), lit(50), lit(200), lit(0), lit(20), lit(10))).first()[0] is None
+    crop = lambda *a: one.select(boxes.anchored_crop(a[0], *map(lit, a[1:]))).first()[0]
+    assert crop("top_right", 100, 80, -30, 5, 20, 10) == [70, 5, 20, 10]
+    assert crop("center", 101, 51, 0, 0, 20, 10) == [50, 25, 20, 10]
+    assert crop("bottom_left", 100, 80, 5, -30, -1, -1) == [5, 50, 95, 30]
+    assert crop("no such anchor", 100, 80, -5, 70, 20, 30) == [0, 70, 15, 10]
+    assert crop("top_left", 100, 50, 200, 0, 20, 10) == [0, 0, 100, 50]
+    assert one.select(boxes.ratio_crop("top_left", lit(101), lit(51), 0.5, 0.1, 0.25, -1)).first()[0] == [50, 5, 25, 46]
+    turned = lambda angle: one.select(boxes.reorient(*(lit(v) for v in (1, 2, 3, 4, 10, 20, 100, 200, angle)))).first()[0]
+    assert turned(90) == [104.0, 21.0, 4.0, 3.0] and turned(180) == [11.0, 214.0, 3.0, 4.0] and turned(-90) == [12.0, 21.0, 4.0, 3.0] and turned(45) == [11.0, 22.0, 3.0, 4.0]
+    points = spark.createDataFrame([([30, 5, 30, 41],)], "e array<int>").select(boxes.split_points(F.col("e"), lit(60), 10)).first()[0]
+    assert [tuple(p) for p in points] == [(5, 25), (30, 11), (41, 19)]
     assert one.select(boxes.reorient(*(lit(v) for v in (1, 2, 3, 4, 10, 20, 100, 200, 0)))).first()[0] == [11.0, 22.0, 3.0, 4.0]
 
 
@@ -302,3 +312,95 @@ def test_dates_codes_and_relations(spark):
     a, b = spark.createDataFrame([(1, None), (2, "x"), (3, "y")], "k int, v string"), spark.createDataFrame([(2, "x"), (1, None)], "k int, v string")
     assert [r.k for r in listing.related(a, b, "k", "k", negate=True).collect()] == [3]
     assert [r.k for r in listing.excluding(a, b, ["k", "v"]).collect()] == [3]
+
+
+def test_structuring_with_header_and_gaps(spark):
+    """Only value rows repeat, a missing cell moves nothing into another record, and the template reaches as many rows as there are blocks in."""
+    template = [("s", "MULTI_ROW", 1, 1, "key", None, None, "No"), ("s", "MULTI_ROW", 1, 2, "key", None, None, "Name"), ("s", "MULTI_ROW", 2, 1, "val", "t", "a", None), ("s", "MULTI_ROW", 2, 2, "val", "t", "b", None)]
+    cells = [(1, "s", 1, 1, "N o"), (1, "s", 1, 2, "Nane")] + [(1, "s", r, c, f"{'ab'[c - 1]}{r}") for r in (2, 3, 4) for c in (1, 2) if (r, c) != (3, 2)] + [(2, "s", 1, 1, "No"), (2, "s", 1, 2, None)]
+    matched = structuring.match_template(
+        spark.createDataFrame(cells, "doc_id int, section string, row int, col int, text string"),
+        spark.createDataFrame(template, "section string, kind string, row int, col int, cell_type string, table_name string, column_name string, default_text string"),
+    )
+    got = {(r.doc_id, r.record_no, r.column_name): r.text for r in structuring.records(matched).collect()}
+    assert got == {(1, 1, "a"): "a2", (1, 1, "b"): "b2", (1, 2, "a"): "a3", (1, 3, "a"): "a4", (1, 3, "b"): "b4"}
+    assert sorted((r.doc_id, r.row, r.col, r.text) for r in structuring.key_mismatches(matched).collect()) == [(1, 1, 2, "Nane"), (2, 1, 2, None)]
+    assert sorted((r.doc_id, r.row, r.col) for r in structuring.missing_blocks(matched).collect()) == [(1, 3, 2), (2, 2, 1), (2, 2, 2)]
+
+
+def test_record_numbers_fold(spark):
+    """Against reading one cell after the other."""
+    rng = random.Random(3)
+    rows = [(g, i, rng.choice("abc")) for g in range(30) for i in range(rng.randrange(1, 40))]
+    got = {(r.g, r.i): r.record_no for r in grid.record_numbers(spark.createDataFrame(rows, "g int, i int, c string"), ["g"], "c", ["i"]).collect()}
+    for g in range(30):
+        have, n = set(), 1
+        for _, i, c in (r for r in rows if r[0] == g):
+            if c in have:
+                have, n = set(), n + 1
+            have.add(c)
+            assert got[g, i] == n
+
+
+def test_words_at_the_limit_and_without_height(spark):
+    rows = [(1, "a", 0.0, 10.0, 10.0), (1, "b", 15.5, 4.0, 0.0), (1, "c", 24.9, 4.0, 10.0), (2, "x", 0.0, 1.0, 0.0), (2, "y", 1.0, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "l int, t string, x double, w double, h double")
+    assert {r.l: r.text for r in grid.join_words(df, ["l"], "t", "x", "w", "h").collect()} == {1: "a bc", 2: "x y"}
+
+
+def test_json_set_keeps_the_rest(spark):
+    rows = ['{"n":1,"a":[1,2],"t":"x","z":null}', "{}", None, "no json", '{"o":{"p":{"q":true},"r":1.50},"status":3}']
+    df = spark.createDataFrame([(r,) for r in rows], "p string")
+    top = [r[0] for r in df.select(text.json_set(F.col("p"), "status", F.lit("done"))).collect()]
+    want = [{"n": 1, "a": [1, 2], "t": "x", "z": None, "status": "done"}, {"status": "done"}, None, None, {"o": {"p": {"q": True}, "r": 1.5}, "status": "done"}]
+    assert [t and json.loads(t) for t in top] == want
+    deep = [r[0] for r in df.select(text.json_set(F.col("p"), "o.p.q", F.lit(5))).collect()]
+    assert json.loads(deep[4]) == {"o": {"p": {"q": 5}, "r": 1.5}, "status": 3} and json.loads(deep[0]) == json.loads(rows[0]) and deep[2] is None
+
+
+def test_truth_by_type(spark):
+    row = lambda sql: checks.all_truthy(spark.sql(f"SELECT {sql}")).first().passed
+    assert row("'0' AS a, 0.01BD AS b, true AS c, date'1970-01-01' AS d, array(0) AS e, -1 AS f")
+    for bad in ("''", "0", "0.00BD", "0.0D", "false", "cast(null as string)", "array()"):
+        assert not row(f"1 AS ok, {bad} AS a")
+    df = spark.createDataFrame([([1, 3], "x")], "v array<int>, s string")
+    assert [r.passed for r in checks.table_checks(df, {"row": "array_max(v) > 1", "agg": "max(v[0]) = 1"}).collect()] == [True, True]
+    assert checks.value_check(df.select("s"), "x").first().passed and not checks.value_check(df.select("s"), "y").first().passed
+
+
+def test_caps_raise_or_are_gone(spark, monkeypatch):
+    lists = {"a": F.sequence(F.lit(1), F.lit(40)), "b": F.sequence(F.lit(1), F.lit(40))}
+    with pytest.raises(Exception, match="1024 may be mapped: 1600"):
+        mapping.cartesian(lists, spark.range(1), ["id"]).collect()
+    assert mapping.cartesian({"a": lists["a"], "b": F.sequence(F.lit(1), F.lit(25))}, spark.range(1), ["id"]).agg(F.max("map_index")).first()[0] == 999
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(200, None), (500, 200)], "n int, p int")
+    up = relational.hierarchy(chain, "n", "p")
+    assert up.count() == 200 * 201 // 2 + 1 and up.where("node = 0").agg(F.max("level")).first()[0] == 200
+    with pytest.raises(ValueError, match="circle"):
+        relational.hierarchy(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "n int, p int"), "n", "p")
+    monkeypatch.setattr(load, "MOST_COLUMNS", 2)
+    with pytest.raises(ValueError, match="more than 2 columns"):
+        load.wide(spark.createDataFrame([(1, c, "v") for c in "abc"], "k int, n string, v string"), ["k"], "n", "v")
+
+
+def test_dates_that_do_not_parse_stay(spark):
+    df = spark.createDataFrame([("2024.01.02",), ("soon",), ("",), (None,)], "t string")
+    got = df.select(text.date_text(F.col("t"), "yyyy", ["yyyy.MM.dd"]).alias("v"), text.date_error(F.col("t"), "yyyy", ["yyyy.MM.dd"]).alias("e")).collect()
+    assert [(r.v, r.e is not None) for r in got] == [("2024", False), ("soon", True), ("", True), (None, True)]
+
+
+def test_insert_plan_at_three_levels(spark):
+    s = "doc_id int, _id int, _par_id int"
+    tables = {
+        "leaf": (spark.createDataFrame([(1, 1, 2), (1, 2, 9), (2, 1, 1)], s), "mid"), "mid": (spark.createDataFrame([(1, 1, 1), (1, 2, 1), (2, 1, 1)], s), "root"),
+        "root": (spark.createDataFrame([(1, 1, 0), (2, 1, 0), (2, 2, 0)], s), None),
+    }
+    rows, kept, failed = load.insert_plan(tables, {"root": 10})
+    assert [(r.doc_id, r.pk, r.parent_pk) for r in rows["root"].collect()] == [(1, 11, None)]
+    assert sorted((r._id, r.pk, r.parent_pk) for r in rows["mid"].collect()) == [(1, 1, 11), (2, 2, 11)]
+    assert [(r._id, r.parent_pk) for r in rows["leaf"].collect()] == [(1, 2)]
+    assert kept.count() == 4 and sorted((r.doc_id, r.table_name, r._id, r.reason) for r in failed.collect()) == [
+        (1, "leaf", 2, "parent missing"), (2, "leaf", 1, "parent missing"), (2, "mid", 1, "parent missing"), (2, "root", 1, "several roots"), (2, "root", 2, "several roots"),
+    ]
+    with pytest.raises(ValueError, match="way to a root"):
+        load.insert_plan({"a": (tables["leaf"][0], "b")})
