@@ -116,7 +116,10 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Centroids:
     each = min(sample, max(SAMPLES // max(n_langs, 1), 5))
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(1e6) * each / F.col("count")
     # at most LANGUAGES rows
-    chosen = known.join(F.broadcast(sizes), "lang").where(share).groupBy("doc_id", "lang").agg(F.max("text").alias("text")).select("doc_id", "text", "lang")
+    chosen = known.join(F.broadcast(sizes), "lang").where(share).select("doc_id", "text", "lang")
+    ids = chosen.select("doc_id", "lang").agg(F.count("*").alias("n"), F.count_distinct("doc_id", "lang").alias("d")).first()
+    if ids["n"] > ids["d"]:  # texts move only where ids repeat
+        chosen = chosen.groupBy("doc_id", "lang").agg(F.max("text").alias("text")).select("doc_id", "text", "lang")
     rows = chosen.mapInArrow(_sampled, "doc_id bigint, lang string, n binary").toArrow().sort_by([("doc_id", "ascending")])
     df = np.zeros(DIMS)
     sums = docs.select("text").mapInArrow(_document_frequency, "df array<bigint>").select(F.posexplode("df").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n"))

@@ -318,7 +318,11 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     known = known.groupBy("doc_id").agg(F.max("label").alias("label")).withColumn("h", F.xxhash64("doc_id"))
     chosen = known.where("label = 1").orderBy("h", "doc_id").limit(per_class).unionByName(known.where("label = 0").orderBy("h", "doc_id").limit(per_class))
     # at most 2 * per_class ids: a proven bound for the broadcast
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen.select("doc_id", "label")), "doc_id")
+    chosen = F.broadcast(chosen.select("doc_id", "label"))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    ids = docs.select("doc_id").join(chosen, "doc_id").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("d")).first()
+    if ids["n"] == ids["d"]:
+        return rows  # no id repeats, so no text has to move
     return rows.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("label").alias("label"))
 
 
