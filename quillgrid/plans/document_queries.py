@@ -71,10 +71,12 @@ def document_pipeline(spark, sf_dir):
     """
     li = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("f"), F.max("l_linestatus").alias("s"))
     block = lambda x, text: F.struct(F.lit(float(x)).alias("x"), (F.col("l_linenumber") * F.lit(30.0)).alias("y"), text.alias("text"))
-    words = li.select(F.col("l_orderkey").alias("doc_id"), F.lit("lines").alias("section"), F.inline(F.array(block(5, F.concat(F.lit(" _"), "f", F.lit(" "))), block(90, F.concat("s", F.lit("%"))))))
-    template = [("lines", "MULTI_ROW", 1, 1, "key", None, None, "N"), ("lines", "MULTI_ROW", 1, 2, "key", None, None, "F"), ("lines", "MULTI_ROW", 2, 1, "val", "t_line", "flag", None), ("lines", "MULTI_ROW", 2, 2, "val", "t_line", "status", None)]
+    section = F.when(F.col("l_orderkey") % 2 == 0, "even").otherwise("odd")
+    words = li.select(F.col("l_orderkey").alias("doc_id"), section.alias("section"), F.inline(F.array(block(5, F.concat(F.lit(" _"), "f", F.lit(" "))), block(90, F.concat("s", F.lit("%"))))))
+    cells = [(1, 1, "key", None, None, "N"), (1, 2, "key", None, None, "F"), (2, 1, "val", "t_line", "flag", None), (2, 2, "val", "t_line", "status", None)]
+    template = [(s, "MULTI_ROW", *c) for s in ("even", "odd") for c in cells]
     common = F.array(F.struct(F.lit("A").alias("err"), F.lit("Re").alias("fix")))
-    block_fixes = spark.createDataFrame([("lines", 2, 2, "O", "open")], "section string, row int, col int, error string, correct string")
+    block_fixes = spark.createDataFrame([(s, 2, 2, "O", "open") for s in ("even", "odd")], "section string, row int, col int, error string, correct string")
     done = assembly.structure(words, spark.createDataFrame(template, TEMPLATE_SCHEMA), common, block_fixes, gap=25)
     return done.select("doc_id", "kind", "table_name", "id", "column_name", "text")
 

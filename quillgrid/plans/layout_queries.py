@@ -71,8 +71,9 @@ def segment_merge_lengths(spark, sf_dir):
 def multirow_template_expand(spark, sf_dir):
     """A header row and a unit of two value rows: the unit comes again until the template has as many rows as the order has lines."""
     needed = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_linenumber").alias("needed"))
-    cells = spark.createDataFrame([("t", 1, "key"), ("t", 2, "val"), ("t", 3, "val")], "section string, row int, cell_type string")
-    return G.expand_template(F.broadcast(cells), needed.withColumn("section", F.lit("t")), ["section"], "needed").select("l_orderkey", "row", "cell_type", "repeat")
+    cells = spark.createDataFrame([(s, r, "key" if r == 1 else "val") for s in ("even", "odd") for r in (1, 2, 3)], "section string, row int, cell_type string")
+    section = F.when(F.col("l_orderkey") % 2 == 0, "even").otherwise("odd")
+    return G.expand_template(F.broadcast(cells), needed.withColumn("section", section), ["section"], "needed").select("l_orderkey", "row", "cell_type", "repeat")
 
 
 @query(
