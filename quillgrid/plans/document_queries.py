@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillgrid.functions import imaging
-from quillgrid.operators import assembly, learning
+from quillgrid.operators import assembly, blocks, learning
 from quillgrid.operators import structuring as R
 from quillgrid.plans.catalogue import query, read
 
@@ -130,3 +130,20 @@ def image_steps(spark, sf_dir):
     img = e.select("vec_id", F.lit(32).alias("height"), F.lit(32).alias("width"), F.lit(1).alias("channels"), F.unhex(F.array_join(pixels, "")).alias("data"))
     out = imaging.apply_steps(img, [("scale", {"width": 48, "height": 40}), ("threshold", {}), ("unknown", {}), ("del_blank_set1", {"padding": 2})], ["vec_id"])
     return out.select("vec_id", "height", "width", F.md5("data").alias("digest"))
+
+
+@query(
+    """WITH p AS (SELECT vec_id, 30 + vec_id % 20 AS line FROM embeddings),
+    leaf AS (SELECT vec_id, 'b_h1' AS name, 0 AS y, line - 1 AS h FROM p UNION ALL SELECT vec_id, 'b_h2', line + 3, 90 - (line + 3) FROM p)
+    SELECT vec_id, 'b' AS block_id, 5 AS x, 7 AS y, 120 AS w, 90 AS h, 2 AS child FROM p
+    UNION ALL SELECT vec_id, name, 5, 7 + y, 120, h, 2 FROM leaf
+    UNION ALL SELECT vec_id, name || '_r1', 5, 7 + y, 48, h, 0 FROM leaf UNION ALL SELECT vec_id, name || '_r2', 53, 7 + y, 72, h, 0 FROM leaf"""
+)
+def block_separation(spark, sf_dir):
+    """Pages of 120 x 90 with one line of two pixels: cut at the line (what lies between its edges is too low to be a block), and every part at 0.4 of its width."""
+    e = read(spark, sf_dir, "embeddings").select("vec_id", (F.lit(30) + F.col("vec_id") % 20).cast("int").alias("line"))
+    white, black = F.repeat(F.lit("FF"), F.lit(120)), F.repeat(F.lit("00"), F.lit(240))
+    pixels = F.unhex(F.concat(F.repeat(white, F.col("line")), black, F.repeat(white, F.lit(88) - F.col("line"))))
+    pages = e.select("vec_id", F.lit("b").alias("block_id"), F.lit(5).alias("x"), F.lit(7).alias("y"), F.lit(90).alias("height"), F.lit(120).alias("width"), F.lit(1).alias("channels"), pixels.alias("data"))
+    steps = [("separate_block_by_line", {}), ("split_image_by_left_ratio", {"split_ratio": 0.4})]
+    return blocks.separate(pages, steps, ["vec_id"]).select("vec_id", "block_id", "x", "y", "w", "h", "child")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillgrid.functions import boxes, containment, imaging, text
-from quillgrid.operators import checks, grid, learning, listing, load, mapping, relational, structuring
+from quillgrid.operators import blocks, checks, grid, learning, listing, load, mapping, relational, structuring
 from quillgrid.plans.steps import PRESETS, Registry, Step, CLEANSING
 from quillgrid.sources import files, sinks, sql
 
@@ -404,3 +404,49 @@ def test_insert_plan_at_three_levels(spark):
     ]
     with pytest.raises(ValueError, match="way to a root"):
         load.insert_plan({"a": (tables["leaf"][0], "b")})
+
+
+def _table(rows, columns, w=300, h=200):
+    """A ruled table: lines of two pixels at the given places, with some ink in every cell."""
+    img = np.full((h, w), 255, np.uint8)
+    for y in rows:
+        img[y : y + 2] = 0
+    for x in columns:
+        img[:, x : x + 2] = 0
+    for y in [*(a + 10 for a in rows)]:
+        img[y : y + 3, 8:12] = 0
+    return img
+
+
+def test_blocks_of_a_ruled_table(spark):
+    root = blocks.Block("p", (100, 50, 300, 200), _table([60, 120], [150]))
+    out = {b.name: b for b in blocks.separate_block_by_line(root)}
+    # three rows, each cut at the column; a line's own height is too low for a block
+    assert out["p"].child == 3 and {n for n in out if n.count("_") == 1} == {"p_h1", "p_h2", "p_h3"}
+    assert all(out[f"p_h{i}"].child == 2 for i in (1, 2, 3)) and sum(b.child == 0 for b in out.values()) == 6
+    assert out["p_h1"].box == (100, 50, 300, 59) and out["p_h2"].box == (100, 113, 300, 56)
+    # children lie in their parents' rows, and pixels are the box's size
+    for name, b in out.items():
+        assert b.img.shape == (b.box[3], b.box[2])
+        if name != "p":
+            parent = out[name.rsplit("_", 1)[0]]
+            assert parent.box[1] <= b.box[1] and b.box[1] + b.box[3] <= parent.box[1] + parent.box[3]
+    # no horizontal line: the other direction begins; no line at all: one leaf
+    assert blocks.separate_block_by_line(blocks.Block("q", (0, 0, 300, 200), _table([], [150])))[0].child == 2
+    plain = blocks.separate_block_by_line(blocks.Block("q", (0, 0, 300, 200), np.full((200, 300), 255, np.uint8)))
+    assert [(b.name, b.child) for b in plain] == [("q", 0)]
+
+
+def test_blocks_split_at_gaps_and_ratios(spark):
+    img = np.full((40, 200), 255, np.uint8)
+    img[10:30, 20:60] = 0
+    img[10:30, 120:180] = 0
+    gap = blocks.split_image_by_vertical_gaps(blocks.Block("b", (3, 4, 200, 40), img.copy()))
+    assert [(b.name, b.box, b.child) for b in gap] == [("b", (3, 4, 200, 40), 2), ("b_g1", (3, 4, 70, 40), 0), ("b_g2", (73, 4, 130, 40), 0)]
+    assert len(blocks.split_image_by_vertical_gaps(blocks.Block("b", (0, 0, 200, 40), img.copy()), min_gap_width=90)) == 1
+    assert len(blocks.split_image_by_vertical_gaps(blocks.Block("b", (0, 0, 200, 40), img.copy()), min_start_ratio=0.35)) == 1
+    turned = blocks.split_image_by_left_ratio(blocks.Block("b", (0, 0, 200, 40), img), 0.25, angle=-90)
+    assert [b.box for b in turned[1:]] == [blocks.turned_box((0, 0, 200, 40), (a, 0, n, 200), -90) for a, n in ((0, 10), (10, 30))]
+    assert [b.img.shape for b in turned[1:]] == [(10, 200), (30, 200)]
+    done = blocks.cut(blocks.Block("b", (0, 0, 200, 40), img.copy()), [("split_image_by_vertical_gaps", {}), ("no such step", {}), ("split_image_by_left_ratio", {"split_ratio": 0.5})])
+    assert [b.name for b in done] == ["b", "b_g1", "b_g1_r1", "b_g1_r2", "b_g2", "b_g2_r1", "b_g2_r2"]
