@@ -165,15 +165,18 @@ def contain_check(target: Column, full: Column) -> Column:
     return F.pandas_udf(score, "double")(target, full)
 
 
-#: Codes by the names that documents and detectors use. Fixed values.
+#: Codes by the names that documents and detectors use; empty where translators don't know the language. Fixed values.
 LANGUAGE_CODES = {
-    "ko": "ko", "kor": "ko", "한국어": "ko", "en": "en", "eng": "en", "영어": "en", "ja": "ja", "jpn": "ja", "일본어": "ja", "zh": "zh", "zho": "zh", "chi": "zh", "중국어": "zh",
-    "fr": "fr", "fra": "fr", "프랑스어": "fr", "de": "de", "deu": "de", "독일어": "de", "es": "es", "spa": "es", "스페인어": "es", "ru": "ru", "rus": "ru", "러시아어": "ru",
-    "vi": "vi", "vie": "vi", "베트남어": "vi", "th": "th", "tha": "th", "태국어": "th",
+    "en": "en", "ko": "ko", "zh_sim": "zh", "zh_tra": "zh-TW", "ja": "ja", "es": "es", "fr": "fr", "de": "de", "ru": "ru", "ar": "ar", "pt": "pt", "bo": "", "mn": "",
+    "vi": "vi", "ug": "", "th": "th", "tl": "fil", "hi": "hi", "bn": "bn", "ur": "ur",
+    "eng": "en", "kor": "ko", "zho": "zh", "chi": "zh", "jpn": "ja", "spa": "es", "fra": "fr", "fre": "fr", "deu": "de", "ger": "de", "rus": "ru", "ara": "ar", "por": "pt",
+    "bod": "", "tib": "", "mon": "", "vie": "vi", "uig": "", "tha": "th", "tgl": "fil", "fil": "fil", "hin": "hi", "ben": "bn", "urd": "ur",
+    "영어": "en", "한국어": "ko", "중국어": "zh", "중국어 번체": "zh-TW", "일본어": "ja", "스페인어": "es", "프랑스어": "fr", "독일어": "de", "러시아어": "ru", "아랍어": "ar",
+    "포르투갈어": "pt", "티베트어": "", "몽골어": "", "베트남어": "vi", "위구르어": "", "태국어": "th", "타갈로그어": "fil", "필리핀어": "fil", "힌디어": "hi", "벵골어": "bn", "우르두어": "ur",
 }
 
 
 def language_code(name: Column) -> Column:
-    """Two-letter code; empty for a language that isn't listed."""
+    """The translator's code, in any case of the name; empty for a language that isn't listed."""
     codes = F.create_map(*(F.lit(x) for kv in LANGUAGE_CODES.items() for x in kv))
     return F.coalesce(F.try_element_at(codes, F.lower(F.trim(name))), F.lit(""))

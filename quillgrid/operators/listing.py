@@ -110,3 +110,37 @@ def excluding(df: DataFrame, pairs: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose tuple of keys isn't listed; null-safe."""
     renamed = pairs.select(*(F.col(c).alias(f"_x_{c}") for c in on)).distinct()
     return df.join(renamed, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_x_{c}")) for c in on]), "left_anti")
+
+
+#: Tests of a store's filters on (cell, asked text); numbers where both are.
+STORE_FILTERS = {
+    "contains": all_tokens,
+    "not_contains": lambda c, v: ~all_tokens(c, v),
+    "starts_with": lambda c, v: F.lower(c).startswith(v.lower()),
+    "not_starts_with": lambda c, v: ~F.lower(c).startswith(v.lower()),
+    "equal": lambda c, v: c == v,
+    "not_equal": lambda c, v: c != v,
+    "greater": lambda c, v: F.coalesce(c.try_cast("double") > F.lit(v).try_cast("double"), F.lit(False)),
+    "smaller": lambda c, v: F.coalesce(c.try_cast("double") < F.lit(v).try_cast("double"), F.lit(False)),
+}
+
+
+def store_filter(column: Column, op: str, text: str) -> Column:
+    """A store's filter on a cell; a null cell never matches."""
+    cell = column.cast("string")
+    return cell.isNotNull() & F.coalesce(STORE_FILTERS[op](cell, text), F.lit(False))
+
+
+def apply_all(df: DataFrame, filters: Sequence[tuple[str, str, str | Sequence[str]]], allowed: Mapping[str, Sequence[str]]) -> DataFrame:
+    """store_filter()s (column, op, text) one after the other; a list of texts asks for all of them. A column or op that isn't allowed is an error."""
+    for column, op, texts in filters:
+        if op not in allowed.get(column, ()):
+            raise ValueError(f"filter {op} isn't allowed on {column}")
+        for text in [texts] if isinstance(texts, str) else texts:
+            df = df.where(store_filter(F.col(column), op, text))
+    return df
+
+
+def page_then_join(df: DataFrame, order: Sequence[Column], size: int, page: int, others: DataFrame, on: Column, how: str = "left") -> DataFrame:
+    """A page of rows (the feature: `size` of them) and then their related rows, so that relations don't count as rows of the page."""
+    return df.orderBy(*order).offset(size * page).limit(size).join(others, on, how)

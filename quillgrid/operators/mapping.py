@@ -72,3 +72,30 @@ def neighbours(df: DataFrame, by: list[str], order: str) -> DataFrame:
     """Adds the previous and next run's time."""
     along = Window.partitionBy(*by).orderBy(order)
     return df.withColumn("previous", F.lag(order).over(along)).withColumn("following", F.lead(order).over(along))
+
+
+def delta_intervals(ts: Column, start: str, step: str) -> tuple[Column, Column]:
+    """Start and end of the interval of a fixed length, counted from `start`, that a time lies in."""
+    first = F.to_timestamp(F.lit(start))
+    length = F.unix_seconds(first + F.expr(f"INTERVAL {step}")) - F.unix_seconds(first)
+    begin = F.unix_seconds(first) + F.floor((F.unix_seconds(ts.cast("timestamp")) - F.unix_seconds(first)) / length) * length
+    return F.timestamp_seconds(begin), F.timestamp_seconds(begin + length)
+
+
+def next_event(df: DataFrame, ts: str, events: list[str]) -> DataFrame:
+    """Adds event: the first of a schedule's listed times at or after each time, null behind the last."""
+    times = F.array(*(F.to_timestamp(F.lit(e)) for e in sorted(events)))
+    return df.withColumn("event", F.get(F.filter(times, lambda e: e >= F.col(ts)), F.lit(0)))
+
+
+def conditions(df: DataFrame, by: list[str], name: str, ready: Column, wanted: list[str]) -> DataFrame:
+    """by, any_ready, all_ready: whether one, or every one, of the wanted datasets has an update that counts."""
+    updated = F.collect_set(F.when(ready & F.col(name).isin(wanted), F.col(name)))
+    return df.groupBy(*by).agg(updated.alias("_u")).select(*by, (F.size("_u") > 0).alias("any_ready"), (F.size("_u") == len(wanted)).alias("all_ready"))
+
+
+def branch(df: DataFrame, choice: Column, tasks: list[str]) -> DataFrame:
+    """One row per row and task: state `run` for the chosen one, `skipped` for the others; a choice that is no task is an error."""
+    chosen = F.when(choice.isin(tasks), choice).otherwise(F.raise_error(F.concat(F.lit("no such task: "), F.coalesce(choice, F.lit("null")))).cast("string"))
+    rows = df.withColumn("_c", chosen).withColumn("task", F.explode(F.array(*map(F.lit, tasks))))
+    return rows.withColumn("state", F.when(F.col("task") == F.col("_c"), "run").otherwise("skipped")).drop("_c")

@@ -107,3 +107,30 @@ def page_merge(pages: DataFrame, by: Sequence[str], page: str, rows: str) -> Dat
     lists = F.transform("p", lambda s: F.from_json(s["r"], "array<map<string,string>>"))
     empty = F.array().cast("array<map<string,string>>")
     return ordered.select(*by, F.aggregate(lists, empty, fold).alias(rows))
+
+
+def points_in_boxes(points: DataFrame, boxes: DataFrame, x: str, y: str, cell: float) -> DataFrame:
+    """points with the boxes (box, x0, y0, x1, y1) that hold them, edges included. Both sides meet by the y cells that a box covers, then exactly."""
+    low, high = F.floor(F.col("y0") / cell), F.floor(F.col("y1") / cell)
+    spread = boxes.where("x0 <= x1 and y0 <= y1").withColumn("_cell", F.explode(F.sequence(low, high)))
+    near = points.withColumn("_cell", F.floor(F.col(y) / cell)).join(spread, "_cell")
+    return near.where(F.col(x).between(F.col("x0"), F.col("x1")) & F.col(y).between(F.col("y0"), F.col("y1"))).drop("_cell")
+
+
+def latest_joined(fact: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """fact with the values that its group's latest row has (named latest_...)."""
+    last = fact.groupBy(*by).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_l"))
+    return fact.join(last, list(by)).select(*fact.columns, *(F.col(f"_l.{c}").alias(f"latest_{c}") for c in columns))
+
+
+def optional_join(df: DataFrame, other: DataFrame, on: Column, asked: Column | None) -> DataFrame:
+    """Outer while nothing is asked of the other side; inner, filtered, once something is."""
+    return df.join(other, on, "left") if asked is None else df.join(other, on).where(asked)
+
+
+def first_gap(df: DataFrame, by: Sequence[str], start: str, length: str, least: float, after: float) -> DataFrame:
+    """The first place where the next part begins at least `least` behind the end of one that starts after `after`: gap_start, gap."""
+    along = Window.partitionBy(*by).orderBy(start, length)
+    end = F.col(start) + F.col(length)
+    gaps = df.withColumn("gap_start", end).withColumn("gap", F.lead(start).over(along) - end).where((F.col("gap") >= least) & (F.col(start) > after))
+    return gaps.groupBy(*by).agg(F.min_by(F.struct("gap_start", "gap"), start).alias("g")).select(*by, "g.*")
