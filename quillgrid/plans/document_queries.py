@@ -142,6 +142,7 @@ def image_steps(spark, sf_dir):
 def block_separation(spark, sf_dir):
     """Pages of 120 x 90 with one line of two pixels: cut at the line (what lies between its edges is too low to be a block), and every part at 0.4 of its width."""
     e = read(spark, sf_dir, "embeddings").select("vec_id", (F.lit(30) + F.col("vec_id") % 20).cast("int").alias("line"))
+    e = e.repartition(spark.sparkContext.defaultParallelism)  # a number per page moves, not its pixels; the file may be one partition
     white, black = F.repeat(F.lit("FF"), F.lit(120)), F.repeat(F.lit("00"), F.lit(240))
     pixels = F.unhex(F.concat(F.repeat(white, F.col("line")), black, F.repeat(white, F.lit(88) - F.col("line"))))
     pages = e.select("vec_id", F.lit("b").alias("block_id"), F.lit(5).alias("x"), F.lit(7).alias("y"), F.lit(90).alias("height"), F.lit(120).alias("width"), F.lit(1).alias("channels"), pixels.alias("data"))
