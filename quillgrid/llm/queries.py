@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillgrid.llm import chat, jaccard, language, media, mixing, pieces, quality_model, quality_rules, toxicity, url_filters
+from quillgrid.llm import chat, clusters, jaccard, language, media, merkle, mixing, pieces, quality_model, quality_rules, toxicity, url_filters
 from quillgrid.llm.common import read
 
 
@@ -46,10 +46,21 @@ def op10_quality_classifier(spark, sf_dir):
     return quality_model.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.manifest_proofs(read(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clustering(spark, sf_dir):
+    return clusters.cluster_distances(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_sentencepiece, op2_media_columns, op3_language_id, op4_ngram_jaccard, op5_chat_formatting, op6_url_filters, op7_quality_rules, op8_mixing, op9_toxicity, op10_quality_classifier)
-}
+    for f in (
+        op1_sentencepiece, op2_media_columns, op3_language_id, op4_ngram_jaccard, op5_chat_formatting, op6_url_filters, op7_quality_rules, op8_mixing, op9_toxicity,
+        op10_quality_classifier, op12_merkle_manifest, op13_centroid_clustering,
+    )
+}
 
 ORACLES = {
     "op5_chat_formatting": r"""
@@ -95,4 +106,32 @@ ORACLES = {
                                     OR 10 * n_letter_words < 3 * n_words OR 10 * n_ellipsis_lines > 6 * n_lines OR 10 * n_bullet_lines > 9 * n_lines) AS kept
         FROM b
     """,
+    "op12_merkle_manifest": r"""
+        WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, source, text, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, x:
+                        list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, (a & 1) * 3988292384)))) % 5 = 0 AS hit FROM documents),
+        leaves AS (SELECT r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                          CASE WHEN hit AND text IS NOT NULL THEN sha256(head || strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) END AS changed FROM d),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+        up AS (SELECT source, 0 AS lvl, idx, n, leaf AS h FROM placed
+               UNION ALL SELECT source, lvl + 1, idx // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM up WHERE n > 1 GROUP BY source, lvl, idx // 16, n),
+        subs AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM up WHERE n = 1),
+        over_ AS (SELECT 0 AS lvl, idx, n, subroot AS h FROM subs
+               UNION ALL SELECT lvl + 1, idx // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM over_ WHERE n > 1 GROUP BY lvl, idx // 16, n),
+        root AS (SELECT h AS root FROM over_ WHERE n = 1),
+        runs AS (SELECT source, lvl, idx // 16 AS run, list(h ORDER BY idx) AS hs FROM up WHERE n > 1 GROUP BY source, lvl, idx // 16),
+        top_runs AS (SELECT lvl, idx // 16 AS run, list(h ORDER BY idx) AS hs FROM over_ WHERE n > 1 GROUP BY lvl, idx // 16),
+        climb AS (SELECT p.r, p.source, 0 AS lvl, p.idx, p.n, '' AS sib, coalesce(p.changed, p.leaf) AS h FROM placed p
+               UNION ALL SELECT c.r, c.source, c.lvl + 1, c.idx // 16, (c.n + 15) // 16,
+                      c.sib || array_to_string(list_concat(g.hs[:c.idx % 16], g.hs[c.idx % 16 + 2:]), ''),
+                      sha256(array_to_string(list_concat(list_append(g.hs[:c.idx % 16], c.h), g.hs[c.idx % 16 + 2:]), ''))
+               FROM climb c JOIN runs g ON g.source IS NOT DISTINCT FROM c.source AND g.lvl = c.lvl AND g.run = c.idx // 16 WHERE c.n > 1),
+        climb2 AS (SELECT c.r, 0 AS lvl, s.idx, s.n, c.sib, c.h, s.subroot FROM climb c JOIN subs s ON s.source IS NOT DISTINCT FROM c.source WHERE c.n = 1
+               UNION ALL SELECT c.r, c.lvl + 1, c.idx // 16, (c.n + 15) // 16, c.sib || array_to_string(list_concat(g.hs[:c.idx % 16], g.hs[c.idx % 16 + 2:]), ''),
+                      sha256(array_to_string(list_concat(list_append(g.hs[:c.idx % 16], c.h), g.hs[c.idx % 16 + 2:]), '')), c.subroot
+               FROM climb2 c JOIN top_runs g ON g.lvl = c.lvl AND g.run = c.idx // 16 WHERE c.n > 1)
+        SELECT p.doc_id, p.leaf, c.subroot, root.root, sha256(c.sib) AS proof_sha256, c.h AS folded_root, c.h = root.root AS verified
+        FROM placed p JOIN climb2 c ON c.r = p.r AND c.n = 1, root
+    """,
 }
