@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillgrid.llm import chat, clusters, jaccard, language, media, merkle, mixing, pieces, quality_model, quality_rules, toxicity, url_filters
+from quillgrid.llm import chat, clusters, jaccard, language, media, merkle, mixing, pieces, quality_model, quality_rules, repeats, toxicity, url_filters
 from quillgrid.llm.common import read
 
 
@@ -46,6 +46,10 @@ def op10_quality_classifier(spark, sf_dir):
     return quality_model.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_suffix_dedup(spark, sf_dir):
+    return repeats.repeats_digest(repeats.without_repeats(read(spark, sf_dir, "documents")))
+
+
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.manifest_proofs(read(spark, sf_dir, "documents"))
 
@@ -58,7 +62,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_media_columns, op3_language_id, op4_ngram_jaccard, op5_chat_formatting, op6_url_filters, op7_quality_rules, op8_mixing, op9_toxicity,
-        op10_quality_classifier, op12_merkle_manifest, op13_centroid_clustering,
+        op10_quality_classifier, op11_suffix_dedup, op12_merkle_manifest, op13_centroid_clustering,
     )
 }
 
