@@ -1,21 +1,20 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Every rule is a condition on measures of one text. On a sample, each rule's cost is measured (the time that it takes to judge the sample) and the sets of
-rules that reject each row are counted; the cascade is then put together greedily: next comes the rule that rejects most of the rows which are still left, for
-its cost. A CASE expression stops at the first rule that rejects, and the measures that a rule alone needs are inside its branch, so they aren't computed
+Every rule is a condition on measures of one text. On a sample, the work of each rule (values and characters that it looks at) and the sets of rules that
+reject each row are counted; the cascade is then put together greedily: next comes the rule that rejects most of the rows which still reach it, for the work on
+those. A CASE expression stops at the first rule that rejects, and the measures that a rule alone needs are inside its branch, so they aren't computed
 for rows that are already rejected. The order changes only the cost: the verdict is the same in any order.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgrid.llm.common import cut, words
+from quillgrid.llm.common import words
 
 SYMBOLS = "[#*$%&|<>]"
 #: Rows of the sample that orders the rules. It has no influence on any verdict.
@@ -38,6 +37,13 @@ LAZY = {
     "n_ellipsis_lines": r"size(filter(lines, x -> x rlike '(\\.\\.\\.|\u2026)[ \\t-\\r]*\\z'))",
     "n_bullet_lines": r"size(filter(lines, x -> x rlike '^[ \\t-\\r]*[-*\u2022]'))",
 }
+#: What such a part goes through: words, lines and their characters; windows are hashed, and sorted.
+WORK = {
+    "n_letter_words": "n_words + word_chars",
+    "n_ellipsis_lines": "n_lines + length(text)",
+    "n_bullet_lines": "2 * n_lines",
+    "n_repeat_words": "n_words * (4 + log2(n_words + 1))",
+}
 BASE = (
     Rule("few_words", "n_words < 50"),
     Rule("repeats", "100 * n_repeat_words > 50 * n_words"),
@@ -118,34 +124,34 @@ def _condition(rule: Rule, known: Sequence[str]) -> str:
     return sql
 
 
-def _clock() -> float:
-    return time.perf_counter()
+def _work(rule: Rule, known: Sequence[str]) -> str:
+    """What judging one row takes, in values and characters looked at: one comparison, and what LAZY parts go through."""
+    return " + ".join(["1", *(f"({work})" for name, work in WORK.items() if name in rule.rejects and name not in known)])
 
 
-def order_rules(docs: DataFrame, rules: Sequence[Rule] = BASE + RULES, sample_rows: int = SAMPLE_ROWS, text: str = "text") -> list[Rule]:
-    """rules, by rejection per cost on a sample of about sample_rows rows: next the one that rejects most of what is left for the time it takes.
+def order_rules(docs: DataFrame, rules: Sequence[Rule] = BASE + RULES, sample_rows: int = SAMPLE_ROWS, text: str = "text", given: Sequence[Rule] = ()) -> list[Rule]:
+    """rules, by rejection per cost on a sample of about sample_rows rows: next the one that rejects most of the rows that reach it for the work on those rows.
 
-    Ties, rules that reject nothing more and an empty sample keep the given order, cheaper rules first where nothing is rejected.
+    Rows that a rule of `given` rejects reach none. Work is counted, not timed, so the order is the same in every call. Rules that reject nothing more come
+    last, cheap ones first; ties and an empty sample keep the given order.
     """
     total = docs.count()
-    sample = cut(docs.sample(False, min(1.0, sample_rows / max(total, 1)), 7).select(F.lit(0).alias("doc_id"), F.col(text).cast("string").alias("text")))
+    sample = docs.sample(False, min(1.0, sample_rows / max(total, 1)), 7).select(F.lit(0).alias("doc_id"), F.col(text).cast("string").alias("text"))
     measured = _measures(sample)  # judged in projections, not in filters: those would be pushed below the words, to split them anew at each mention
-    bits = F.array(*(F.coalesce(F.expr(_condition(r, measured.columns)), F.lit(False)) for r in rules))
-    sets = {tuple(r["b"]): r["count"] for r in measured.select(F.explode(F.array(bits)).alias("b")).groupBy("b").count().collect()}
+    known = measured.columns
+    bits = F.array(*(F.coalesce(F.expr(_condition(r, known)), F.lit(False)) for r in (*given, *rules)))
+    judged = measured.select(F.explode(F.array(F.struct(bits.alias("b"), *(F.expr(_work(r, known)).cast("double").alias(f"w{i}") for i, r in enumerate(rules))))).alias("j"))
+    # one row for each set of rules that reject together
+    sets = judged.groupBy("j.b").agg(F.count("*").alias("n"), *(F.sum(f"j.w{i}").alias(f"w{i}") for i in range(len(rules)))).collect()
+    sets = [r for r in sets if not any(r["b"][: len(given)])]
     if not sets:
         return list(rules)
-
-    def seconds(condition: str) -> float:
-        began = _clock()
-        measured.select(F.expr(condition).alias("x")).agg(F.count_if("x")).collect()
-        return _clock() - began
-
-    base = min(seconds("n_words < 0") for _ in range(2))
-    cost = [max(min(seconds(_condition(r, measured.columns)) for _ in range(2)) - base, 1e-3) for r in rules]
     left, out = list(range(len(rules))), []
     while left:
-        gain = {i: sum(n for b, n in sets.items() if b[i] and not any(b[j] for j in out)) for i in left}
-        out.append(min(left, key=lambda i: (-gain[i] / cost[i], cost[i] if not gain[i] else 0.0, i)))
+        reach = [r for r in sets if not any(r["b"][len(given) + i] for i in out)]
+        cost = {i: sum(r[f"w{i}"] for r in reach) for i in left}
+        gain = {i: sum(r["n"] for r in reach if r["b"][len(given) + i]) for i in left}
+        out.append(min(left, key=lambda i: (-gain[i] / max(cost[i], 1.0), cost[i], i)))
         left.remove(out[-1])
     return [rules[i] for i in out]
 
@@ -182,7 +188,7 @@ def quality_verdicts(docs: DataFrame, rules: Sequence[Rule] = RULES, key: str =
     """
     measured = _measured(docs, key, text)
     failed = F.expr(" or ".join(f"({r.rejects})" for r in BASE))
-    rejected = cascade(measured, order_rules(docs, rules, text=text))
+    rejected = cascade(measured, order_rules(docs, rules, text=text, given=BASE))
     return measured.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), F.when(failed, F.lit(False)).otherwise(rejected.isNull()).alias("kept"),

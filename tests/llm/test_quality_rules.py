@@ -1,6 +1,5 @@
 import re
 from collections import Counter
-from itertools import count
 
 from quillgrid.llm import quality_rules as Q
 
@@ -51,15 +50,33 @@ def test_rules_that_reject_much_for_little_come_first(spark):
     assert Q.order_rules(df.limit(0)) == list(Q.BASE + Q.RULES)
 
 
-def test_order_follows_what_is_left_for_each_rule(spark, monkeypatch):
+def test_order_follows_what_is_left_for_each_rule(spark):
     """A rule that rejects most rows, but none that an earlier rule leaves, comes after one that rejects few of them."""
     rows = [(i, "# a b ") for i in range(60)] + [(i, "x " * 80 + "# " * 30) for i in range(60, 70)] + [(i, "word " * 80) for i in range(70, 100)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     rules = (Q.Rule("symbols_60", "n_symbols > 0 and n_words < 50"), Q.Rule("few_words", "n_words < 50"), Q.Rule("symbols", "n_symbols > 20"))
-    monkeypatch.setattr(Q, "_clock", count().__next__)  # all cost the same
     assert [r.name for r in Q.order_rules(df, rules)] == ["symbols_60", "symbols", "few_words"]
 
 
+def test_order_counts_rows_that_reach_a_rule(spark):
+    """What the base rejects counts for no rule; equal work and rejection keep the given order; the same order in every call."""
+    words = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, "x\nx\nx\nx") for i in range(80)] + [(i, f"{words} " + "# " * 20) for i in range(80, 90)] + [(i, words) for i in range(90, 200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    orders = {tuple(r.name for r in Q.order_rules(df, Q.RULES, given=Q.BASE)) for _ in range(3)}
+    assert len(orders) == 1
+    names = orders.pop()
+    assert names[0] == "symbols" and names.index("short_words") < names.index("long_words") < names.index("dup_lines") < names.index("letters")
+    assert [r.name for r in Q.order_rules(df, Q.RULES)][0] in ("dup_lines", "short_words")
+
+
+def test_costly_rules_come_later_though_they_reject_more(spark):
+    rows = [(i, " ".join(str(k) for k in range(100, 160)) + (" #" * 8 if i % 10 else "")) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    rules = (Q.RULES[4], Q.RULES[0])  # letters rejects all, symbols nine of ten, for far less
+    assert [r.name for r in Q.order_rules(df, rules)] == ["symbols", "letters"]
+
+
 def test_what_later_rules_need_is_skipped(spark, monkeypatch):
     """A measure that fails when it is computed proves for which rows it is: all but those that the base or an earlier rule rejects."""
     monkeypatch.setitem(Q.LAZY, "n_trap", "if(n_words < 50 or n_symbols > 0, raise_error('computed'), 0)")
