@@ -177,6 +177,6 @@ LANGUAGE_CODES = {
 
 
 def language_code(name: Column) -> Column:
-    """The translator's code, in any case of the name; empty for a language that isn't listed."""
+    """The translator's code for the name as it is; empty for one that isn't listed."""
     codes = F.create_map(*(F.lit(x) for kv in LANGUAGE_CODES.items() for x in kv))
-    return F.coalesce(F.try_element_at(codes, F.lower(F.trim(name))), F.lit(""))
+    return F.coalesce(F.try_element_at(codes, name), F.lit(""))

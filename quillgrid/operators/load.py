@@ -4,38 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillgrid.operators.relational import settle
 
 #: Columns that one wide table may have.
 MOST_COLUMNS = 10_000
 
 
 def assign_keys(df: DataFrame, name: str, order: Sequence[str], start: int = 0, partitions: Sequence[str] = (), rows_per_range: int = 1_000_000) -> DataFrame:
-    """Dense keys after `start` in the given order, or from 1 within each of `partitions`.
+    """Dense keys after `start` in the given order (nulls first), or from 1 within each of `partitions`.
 
-    Over many rows the first order column is cut into ranges at literal bounds (values of a sample), so that ranges are ranked in parallel and a
-    recomputed task finds the same ranges.
+    Over many rows the whole order is cut into ranges that are ranked in parallel. Rows equal in all of `order`, and so all nulls, are dealt to several
+    ranges, in any order among themselves. The ranges are kept in the shared folder, so a recomputed task finds the same ones.
     """
     if partitions:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*partitions).orderBy(*order)) + start)
-    total = df.count()
-    ranges = max(1, min(2000, total // rows_per_range))
+    ranges = max(1, min(2000, df.count() // rows_per_range))
     if ranges == 1:  # at most rows_per_range rows, or twice as many
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)) + start)
-    column = df[order[0]]
-    values = sorted(r[0] for r in df.select(column).where(column.isNotNull()).sample(min(1.0, 20 * ranges / max(total, 1)), 7).limit(50 * ranges).collect())
-    bounds = sorted({values[len(values) * i // ranges] for i in range(1, ranges)}) if values else []
-    # nulls sort first, into range 0
-    place = F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds or [None])), lambda v: v <= column)), F.lit(0))
-    ranged = df.withColumn("_range", F.when(column.isNull(), 0).otherwise(place))
-    before = ranged.groupBy("_range").count()
-    before = before.withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
-    # at most 2000 rows
-    local = ranged.join(F.broadcast(before), "_range").withColumn("_k", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
-    return local.withColumn(name, F.col("_before") + F.col("_k") + start).drop("_range", "_before", "_k")
+    spread = settle(df.withColumn("_tie", F.rand(7)).repartitionByRange(ranges, *order, "_tie").withColumn("_range", F.spark_partition_id()))
+    sizes = {r[0]: r[1] for r in spread.groupBy("_range").count().collect()}  # at most 2000 rows
+    before = accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=start)
+    before = F.element_at(F.array(*(F.lit(b).cast("bigint") for b in before)), F.col("_range") + 1)
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order, "_tie"))
+    return spread.withColumn(name, before + inside).drop("_range", "_tie")
 
 
 def insert_plan(tables: Mapping[str, tuple[DataFrame, str | None]], start: Mapping[str, int] | None = None) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:

@@ -129,8 +129,8 @@ def optional_join(df: DataFrame, other: DataFrame, on: Column, asked: Column | N
 
 
 def first_gap(df: DataFrame, by: Sequence[str], start: str, length: str, least: float, after: float) -> DataFrame:
-    """The first place where the next part begins at least `least` behind the end of one that starts after `after`: gap_start, gap."""
+    """The first gap of at least `least` to the next part that begins (where the part before it ends) after `after`: gap_start, gap."""
     along = Window.partitionBy(*by).orderBy(start, length)
     end = F.col(start) + F.col(length)
-    gaps = df.withColumn("gap_start", end).withColumn("gap", F.lead(start).over(along) - end).where((F.col("gap") >= least) & (F.col(start) > after))
+    gaps = df.withColumn("gap_start", end).withColumn("gap", F.lead(start).over(along) - end).where((F.col("gap") >= least) & (F.col("gap_start") > after))
     return gaps.groupBy(*by).agg(F.min_by(F.struct("gap_start", "gap"), start).alias("g")).select(*by, "g.*")
