@@ -31,7 +31,7 @@ from quillgrid.llm.scan import mix
 from quillgrid.llm.suffixes import _ranges, suffix_orders
 
 WINDOW = 50
-ANCHOR = 12
+ANCHOR = 20
 #: Windows that may share an anchor.
 SPAN = WINDOW - ANCHOR + 1
 #: Bytes of text of a chunk (one document at least), and of the corpus for each bucket.
@@ -42,11 +42,15 @@ HOT = 4096
 #: Different pieces of an anchor that are ordered as one text, and bytes of texts ordered at once.
 GROUP = 16
 AT_ONCE = 1 << 19
+#: Pieces of a bucket that are looked at together.
+PART = 1 << 16
 #: Windows of a bin: those whose anchor lies at one of so many neighbouring places.
 BIN = 5
 _WORDS = (WINDOW + SPAN - 1 + 7) // 8
 _MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 _FACTORS = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, 2 * _WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Where the further eights of an anchor's bytes begin.
+_INNER = (*range(8, ANCHOR - 8, 8), ANCHOR - 8)
 _NO_ID = np.iinfo(np.int64).max
 _LOW32 = np.uint64(0xFFFFFFFF)
 
@@ -83,9 +87,10 @@ def anchor_runs(data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndar
         return np.empty(0, np.uint8), np.empty(0, np.uint8)
     size = int(lens.sum())
     low = _view(data)[:size] * _FACTORS[0]
-    low ^= _view(data, "<u4", 8)[:size] * _FACTORS[1]
+    for k, behind in enumerate(_INNER, 1):
+        low += _view(data, "<u8", behind)[:size] * _FACTORS[k]
     low ^= low >> np.uint64(31)
-    low *= _FACTORS[2]
+    low *= _FACTORS[-1]
     low &= ~_LOW32
     low |= np.arange(size, dtype=np.uint64)
     reach = 1
@@ -141,7 +146,10 @@ class Chunk:
 
 def anchor_keys(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Hashes of 47 bits of the anchors at `at`."""
-    return mix(_view(data)[at] * _FACTORS[3] ^ (_view(data, "<u4", 8)[at].astype(np.uint64) * _FACTORS[4])) >> np.uint64(17)
+    key = mix(_view(data)[at] + _FACTORS[0])
+    for behind in _INNER:
+        key = mix(key + _view(data, "<u8", behind)[at])
+    return key >> np.uint64(17)
 
 
 def piece_words(data: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -294,57 +302,55 @@ def _read_pieces(raw: bytes) -> tuple[np.ndarray, ...]:
     return piece_words(data, ends - (n + WINDOW - 1), n), n, off.astype(np.int64), cut.astype(bool), ids
 
 
-def _bytes_of(words: np.ndarray) -> np.ndarray:
-    """The pieces' bytes end to end, each in 8 * _WORDS bytes."""
-    return padded(words.tobytes())
-
-
 def smallest_ids(words: np.ndarray, n: np.ndarray, off: np.ndarray, cut: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For each window of each of these different pieces, in order, the smallest id that any piece with an equal window has."""
     out = np.repeat(ids, n)
-    first = np.cumsum(n) - n
-    data = _bytes_of(words)
-    width = 8 * _WORDS
-    start = np.arange(n.size) * width
-    # what is left to do: pieces as (first byte, windows, place of the anchor, id, where their windows stand in out)
+    data = padded(words.tobytes())
+    start = np.arange(n.size) * 8 * _WORDS
     key = np.where(cut, word_hash(words, n), anchor_keys(data, start + off))
-    level, todo = SPAN, (start, n, off, ids, first, key)
+    # pieces as: first byte, windows, place of the anchor, id, where their windows stand in out
+    level, todo, equal = SPAN, (start, n, off, ids, np.cumsum(n) - n, key), []
     while True:
         start, n, off, ids, into, key = todo
         by = np.argsort(key, kind="stable")
         edge = np.nonzero(np.concatenate([[True], key[by][1:] != key[by][:-1]]))[0] if by.size else np.empty(0, int)
         many = np.diff(np.append(edge, by.size))
         short = np.repeat((many <= GROUP) | (level == 1), many)
-        _settle(data, start, n, into, ids, by[short], np.repeat(many, many)[short], key, out)
+        _settle(data, start, n, into, ids, by[short], key, out)
         rest = by[~short]
         if not rest.size:
-            return out
+            break
         level = BIN if level == SPAN else 1
-        todo = _binned(data, start[rest], n[rest], off[rest], ids[rest], into[rest], level, out)
+        todo = _binned(data, start[rest], n[rest], off[rest], ids[rest], into[rest], level, out, equal)
+    for into, source, size in reversed(equal):
+        out[_ranges(into, size)] = out[_ranges(source, size)]
+    return out
 
 
-def _binned(data, start, n, off, ids, into, level: int, out: np.ndarray):
-    """Pieces cut so that the anchor of a part's windows lies in one bin of `level` places; equal parts become one, whose id is put where all of them stand."""
-    place = np.repeat(off, n) - (_ranges(np.zeros(n.size, np.int64), n))
+def _binned(data, start, n, off, ids, into, level: int, out: np.ndarray, equal: list):
+    """Pieces cut so that the anchor of a part's windows lies in one bin of `level` places. Of equal parts one goes on, with the smallest id; `equal` tells where the
+    others find what it gets."""
+    place = np.repeat(off, n) - _ranges(np.zeros(n.size, np.int64), n)
     owner = np.repeat(np.arange(n.size), n)
     bins = place // level
     edge = np.nonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (bins[1:] != bins[:-1])]))[0]
     size = np.diff(np.append(edge, owner.size))
     owner, gone = owner[edge], off[owner[edge]] - place[edge]
     start, off, ids, into = start[owner] + gone, place[edge], ids[owner], into[owner] + gone
-    # the bytes that every window of the bin has: from its highest place to its lowest
-    common = np.zeros(start.size, np.uint64)
-    inner = WINDOW - level + 1
-    high = (off // level) * level
-    for k in range(0, inner, 8):
-        at = start + off - high + np.minimum(k, inner - 8)
-        common = mix(common + _view(data)[at] * _FACTORS[6 + k // 8])
-    common = mix(common + high.astype(np.uint64))
+    one, least, number = different(piece_words(data, start, size), size, ids)
+    equal.append((into, into[one][number], size))
+    start, size, off, ids, into = start[one], size[one], off[one], least, into[one]
+    out[_ranges(into, size)] = np.repeat(ids, size)
+    # the bytes that every window of the bin has: from the beginning of the one with the lowest place to the end of the one with the highest
+    low = off // level * level
+    common, inner = mix(low.astype(np.uint64) + _FACTORS[0]), WINDOW - level + 1
+    for k in (*range(0, inner - 8, 8), inner - 8):
+        common = mix(common + _view(data)[start + off - low + k])
     return start, size, off, ids, into, common
 
 
-def _settle(data, start, n, into, ids, which, many, key, out) -> None:
-    """Orders the suffixes of the pieces `which` (sorted by their group; many: the pieces in it), group by group, and puts the smallest ids into out."""
+def _settle(data, start, n, into, ids, which, key, out) -> None:
+    """Orders the suffixes of the pieces `which` (sorted by their key), key by key, and puts the smallest ids into out."""
     if not which.size:
         return
     size = n[which] + WINDOW - 1
@@ -390,22 +396,40 @@ def _order(data, start, n, into, ids, pieces, count, length, out) -> None:
 
 
 def _answer_pieces(bucket: pa.Table) -> pa.Table:
-    """For each chunk the smallest document of every window of the pieces that it sent, as runs."""
+    """For each chunk the smallest document of every window of the pieces that it sent, as runs. Equal anchors lie in one part of the bucket; parts come in turn."""
     sent = [_read_pieces(b) for b in bucket["sent"].to_pylist()]
     words, n, off, cut, ids = (np.concatenate([s[k] for s in sent]) for k in range(5))
-    one, least, number = different(words, n, ids)
-    found = smallest_ids(words[one], n[one], off[one], cut[one], least)
-    first = np.cumsum(n[one]) - n[one]
-    every = found[_ranges(first[number], n)]
-    # runs of equal documents, none beyond a piece
-    new = np.ones(every.size, bool)
-    new[1:] = every[1:] != every[:-1]
-    new[np.cumsum(n) - n] = True
-    edge = np.nonzero(new)[0]
-    runs, docs = np.diff(np.append(edge, every.size)).astype(np.uint8), every[edge]
-    last = np.cumsum([int(s[1].sum()) for s in sent])
-    cuts = np.searchsorted(edge, [0, *last])
-    rows = [_pack(np.array([b - a], "<i8").tobytes() + runs[a:b].tobytes() + docs[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+    chunk_of = np.repeat(np.arange(len(sent)), [s[1].size for s in sent])
+    del sent
+    key = np.empty(n.size, np.uint64)
+    for at in range(0, n.size, PART):
+        part = slice(at, at + PART)
+        w = words[part]
+        key[part] = mix(np.where(cut[part], word_hash(w, n[part]), anchor_keys(padded(w.tobytes()), np.arange(len(w)) * 8 * _WORDS + off[part])))
+    by = np.argsort(key, kind="stable")
+    many, found = max(1, n.size // PART), []
+    for of in np.split(by, np.searchsorted(key[by], np.arange(1, many, dtype=np.uint64) * np.uint64(((1 << 64) - 1) // many))) if n.size else []:
+        if not of.size:
+            continue
+        of = np.sort(of)
+        w, m = words[of], n[of]
+        one, least, number = different(w, m, ids[of])
+        small = smallest_ids(w[one], m[one], off[of][one], cut[of][one], least)
+        # runs of equal documents, none beyond a piece
+        first = np.cumsum(m[one]) - m[one]
+        new = np.ones(small.size, bool)
+        new[1:] = small[1:] != small[:-1]
+        new[first] = True
+        edge = np.nonzero(new)[0]
+        size, head = np.diff(np.append(edge, small.size)), np.searchsorted(edge, first)
+        runs = np.diff(np.append(head, edge.size))[number]
+        pick = _ranges(head[number], runs)
+        found.append((np.repeat(of, runs), size[pick].astype(np.uint8), small[edge][pick]))
+    piece, size, docs = (np.concatenate([f[k] for f in found]) for k in range(3))
+    by = np.argsort(piece, kind="stable")
+    piece, size, docs = piece[by], size[by], docs[by]
+    cuts = np.searchsorted(chunk_of[piece], np.arange(bucket.num_rows + 1))
+    rows = [_pack(np.array([b - a], "<i8").tobytes() + size[a:b].tobytes() + docs[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
     return pa.table({"chunk": bucket["chunk"], "bucket": bucket["bucket"], "least": pa.array(rows, pa.binary())})
 
 

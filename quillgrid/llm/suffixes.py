@@ -42,14 +42,14 @@ def suffix_orders(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     symbol = np.zeros(text.size, np.int64)
     symbol[text] = codes.astype(np.int64) + 1
     key = texts * (int(symbol.max()) + 1) + symbol[1:]
-    slots = np.concatenate([[0], np.argsort(key, kind="stable") + 1])
-    place = np.empty(text.size, np.int64)
-    place[slots] = np.arange(text.size)
+    slots = np.concatenate([[0], np.argsort(key, kind="stable") + 1]).astype(np.int32)
+    place = np.empty(text.size, np.int32)
+    place[slots] = np.arange(text.size, dtype=np.int32)
     sorted_key = key[slots[1:] - 1]
     first = np.concatenate([[0], np.nonzero(np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]]))[0] + 1])
-    size = np.zeros(text.size, np.int64)
+    size = np.zeros(text.size, np.int32)
     size[first] = np.diff(np.append(first, text.size))
-    head = np.empty(text.size, np.int64)  # first slot of each suffix's group
+    head = np.empty(text.size, np.int32)  # first slot of each suffix's group
     head[slots] = np.repeat(first, size[first])
     before = _group(slots, place, size, head, text, base, marks)
     order = _emit(before, head, text, base, marks)
@@ -66,7 +66,7 @@ def _strip(order: np.ndarray, texts: np.ndarray, base: np.ndarray) -> np.ndarray
 
 def _group(slots, place, size, head, text, base, marks) -> np.ndarray:
     """Splits the groups from the highest to the lowest; gives every suffix's previous smaller one."""
-    before = np.arange(-1, text.size - 1)
+    before = np.arange(-1, text.size - 1, dtype=np.int32)
     touched = np.zeros(text.size, bool)
     last, floor = marks.copy(), base
     while True:
@@ -120,10 +120,10 @@ def _group(slots, place, size, head, text, base, marks) -> np.ndarray:
 
 def _emit(before, head, text, base, marks) -> np.ndarray:
     """All suffixes, in order, by slot: each one sends its left neighbour and that one's previous smaller suffixes to their groups' next places."""
-    order = np.zeros(text.size, np.int64)
+    order = np.zeros(text.size, np.int32)
     done = ~text
     order[base] = marks
-    following = np.arange(text.size)
+    following = np.arange(text.size, dtype=np.int32)
     at, end, now = base.copy(), marks, marks - 1
     while at.size:
         go = ~done[now]

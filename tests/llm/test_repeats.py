@@ -119,18 +119,19 @@ def test_crowded_anchors_are_cut_up(monkeypatch, most, hot, seed):
 
 def test_smallest_ids_of_windows():
     rng = np.random.default_rng(3)
-    base = rng.integers(0, 3, 88).astype(np.uint8)
+    last = repeats.SPAN - 1
+    base = rng.integers(0, 3, 50 + last).astype(np.uint8)
     for _ in range(20):
         # pieces around one anchor: equal near it, different further away
         rows = []
         for _ in range(60):
             b = base.copy()
-            for at in rng.integers(0, 88, rng.integers(0, 3)):
-                if not 38 <= at < 50:
+            for at in rng.integers(0, base.size, rng.integers(0, 3)):
+                if not last <= at < last + repeats.ANCHOR:
                     b[at] = rng.integers(0, 3)
-            a = int(rng.integers(0, 39))
-            z = int(rng.integers(a, 39))
-            rows.append((b[a : z + 50].tobytes(), z - a + 1, 38 - a, int(rng.integers(0, 1000))))
+            a = int(rng.integers(0, last + 1))
+            z = int(rng.integers(a, last + 1))
+            rows.append((b[a : z + 50].tobytes(), z - a + 1, last - a, int(rng.integers(0, 1000))))
         data = repeats.padded(b"".join(r[0] for r in rows))
         size = np.array([len(r[0]) for r in rows])
         n, off, ids = (np.array([r[k] for r in rows]) for k in (1, 2, 3))
