@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -65,14 +66,28 @@ def union_counts(parts: Sequence[tuple[str, DataFrame]], by: Sequence[str], stat
     return every.join(counts, [*by, state], "left").select(*by, state, F.coalesce("count", F.lit(0)).alias("n"))
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """df, computed once in the folder that spark.checkpoint.dir names (a temporary one only where that is unset and all runs on one machine)."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; only where that is unset and all runs on one machine, a temporary one."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quillgrid-"))
+    return (named or sc.getCheckpointDir()).rstrip("/")
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder in the shared one, which goes when the application ends."""
+    path = f"{shared_folder(spark)}/work-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -4,7 +4,7 @@
     spark.read.format("pages").option("path", folder).option("render", "package.module:function").load()
     spark.readStream.format("pages").option("path", folder).option("log", shared_folder).load()
 
-A PDF gives one row per page through `render` (bytes -> page images); any other file is one page without a layout. Files are dealt to partitions by their
+A PDF (or another `suffix`) gives one row per page through `render` (bytes -> page images); any other file is one page without a layout. Files are dealt to partitions by their
 bytes and opened by the tasks. The stream keeps a log of the files that it has listed, in the order in which it met them; its offset is a place in that log.
 So a file that arrives late with an old time is read, none is read twice, and a restarted query plans the batch it had begun with the same files.
 """
@@ -102,14 +102,19 @@ def renderer(name: str | None) -> Callable[[bytes], Sequence[bytes]] | None:
     return getattr(importlib.import_module(module), function)
 
 
-def page_rows(system: fs.FileSystem, f: Found, render: Callable[[bytes], Sequence[bytes]] | None, permissive: bool) -> Iterator[dict]:
+def text_pages(content: bytes) -> list[bytes]:
+    """A renderer for plain text: pages end at form feeds."""
+    return content.split(b"\f")
+
+
+def page_rows(system: fs.FileSystem, f: Found, render: Callable[[bytes], Sequence[bytes]] | None, permissive: bool, suffix: str = ".pdf") -> Iterator[dict]:
     """One row per page. A file that can't be read or rendered raises, or (permissive) is one row with an error and no image."""
     row = {"file_id": file_id(f.path), "layout_id": None, "page_num": 1, "path": f.path, "length": f.length, "image": None, "error": None}
     row["modified"] = datetime.datetime.fromtimestamp(f.modified / 1e6, datetime.timezone.utc)
     try:
         with system.open_input_file(f.path) as stream:
             content = stream.read()
-        if render is None or not f.path.lower().endswith(".pdf"):
+        if render is None or not f.path.lower().endswith(suffix):
             pages = [{**row, "image": content}]
         else:
             pages = ({**row, "layout_id": f"{row['file_id']}_{n}", "page_num": n, "image": image} for n, image in enumerate(render(content), 1))
@@ -128,14 +133,14 @@ class _Reading:
         self.recursive = options.get("recursive", "true").lower() == "true"
         self.pattern = options.get("pattern")
         self.size = int(options.get("partitionbytes", PARTITION_BYTES))
-        self.render = options.get("render")
+        self.render, self.suffix = options.get("render"), options.get("suffix", ".pdf")
         self.permissive = options.get("mode", "failfast").lower() == "permissive"
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         system, _ = place(self.path)
         render, rows, size = renderer(self.render), [], 0
         for f in partition.files:
-            for row in page_rows(system, f, render, self.permissive):
+            for row in page_rows(system, f, render, self.permissive, self.suffix):
                 rows.append(row)
                 size += len(row["image"] or b"")
                 if size >= BATCH_BYTES:
@@ -207,6 +212,27 @@ class PageSource(DataSource):
         return PageStream(self.options)
 
 
+def write_files(files: DataFrame, folder: str) -> None:
+    """Writes each row's content (binary) to folder/name. A file appears whole; a task that is run again writes the same."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = place(folder)
+        n = 0
+        for batch in batches:
+            for name, content in zip(batch["name"].to_pylist(), batch["content"].to_pylist()):
+                path = f"{root}/{name}"
+                parent, _, base = path.rpartition("/")
+                system.create_dir(parent, recursive=True)
+                hidden = f"{parent}/.{uuid.uuid4().hex}"
+                with system.open_output_stream(hidden) as stream:
+                    stream.write(content)
+                system.move(hidden, path)
+                n += 1
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    files.select("name", "content").mapInArrow(run, "n bigint").agg(F.sum("n")).collect()
+
+
 def targets(pages: DataFrame, run_id: Column) -> DataFrame:
     """run_id, target_id and content (JSON) of each page: what a run has to work on. The target of a page of a document is its layout, else its file."""
     name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")

@@ -115,8 +115,7 @@ class Transaction:
         if order:
             rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         folder = self.tables.folder(table, self.name)
-        spark = self.tables.spark
-        spark.dataSource.register(Staging)
+        rows.sparkSession.dataSource.register(Staging)  # a stream has a session of its own
         rows.write.format("staging").option("folder", folder).mode("append").save()
         system, root = place(folder)
         with system.open_input_file(f"{root}/staged.json") as stream:

@@ -1,16 +1,19 @@
 """Windowed aggregation with watermarks, deduplication and run state on streams of events.
 
-The *_by_stream functions read the events table as a file stream, process what is there (AvailableNow) and return the sink's content.
+The *_by_stream functions read the events table as a file stream, process what is there (AvailableNow) and give the rows that the sink wrote.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+
+from quillgrid.operators.relational import work_folder
+from quillgrid.sources.page_source import place
+from quillgrid.sources.transactions import Tables
+from quillgrid.streaming import runs
+from quillgrid.streaming.sinks import take_in, to_end
 
 LATENESS = "30 days"
 
@@ -39,44 +42,45 @@ def source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
-def run_to_end(df: DataFrame, mode: str) -> DataFrame:
-    """Everything that is there now, through a memory table."""
-    name = f"sink_{uuid.uuid4().hex}"
-    df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
-    return df.sparkSession.table(name)
-
-
 def first_by_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first event of every user and type."""
-    return run_to_end(source(spark, sf_dir).groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id")), "complete")
-
-
-def deduplicated(events: DataFrame, keys: list[str], late: str = LATENESS) -> DataFrame:
-    """Each key once within the watermark."""
-    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
+    return to_end(source(spark, sf_dir).groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id")), "complete")
 
 
 def totals_by_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_to_end(source(spark, sf_dir).groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")), "complete")
-
-
-def track(key, batches, state):
-    """Keeps (last event, its status, number of events) per run and reports the new state."""
-    last, status, n = state.get if state.exists else (-1, "", 0)
-    for batch in batches:
-        top = batch.loc[batch["event_id"].idxmax()]
-        n += len(batch)
-        if top["event_id"] > last:
-            last, status = int(top["event_id"]), str(top["event_type"])
-    state.update((last, status, n))
-    yield pd.DataFrame({"user_id": [key[0]], "status": [status], "n": [n]})
-
-
-def states(events: DataFrame) -> DataFrame:
-    return events.select("user_id", "event_id", "event_type").groupBy("user_id").applyInPandasWithState(track, "user_id bigint, status string, n bigint", "last bigint, status string, n bigint", "update", GroupStateTimeout.NoTimeout)
+    return to_end(source(spark, sf_dir).groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")), "complete")
 
 
 def states_by_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last state reported for every run."""
-    reported = run_to_end(states(source(spark, sf_dir)), "update")
-    return reported.groupBy("user_id").agg(F.max_by("status", "n").alias("status"), F.max("n").alias("n"))
+    """The last status reported for every run, and the number of reports."""
+    return to_end(source(spark, sf_dir).groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("status"), F.count("*").alias("n")), "complete")
+
+
+def twice_by_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event reported twice, as two runs of a query deliver it, taken in once. The second run begins from the first one's checkpoint."""
+    work = work_folder(spark)
+    tables = Tables(spark, f"{work}/tables")
+    for _ in range(2):
+        events = source(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+        again = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
+        take_in(events.unionByName(again), ["event_id"], "ts", LATENESS, tables, "events", f"{work}/checkpoint").awaitTermination()
+    return tables.read("events")
+
+
+def moves_by_stream(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
+    """The moves of every user's run: the status of an event is the letter of runs.STATES that its id stands for. Marks after the last event close what is open."""
+    work = work_folder(spark)
+    ts = F.col("ts").cast("timestamp")
+    reports = source(spark, sf_dir).select(
+        F.col("user_id").cast("bigint").alias("run_id"), ts.alias("ts"), F.unix_micros(ts).alias("at"), F.col("event_id").cast("bigint").alias("event_id"),
+        F.substr(F.lit(runs.STATES), (F.col("event_id") % len(runs.STATES) + 1).cast("int"), F.lit(1)).alias("status"),
+    )
+    schema = "run_id bigint, ts timestamp, at bigint, event_id bigint, status string"
+    place(f"{work}/marks")[0].create_dir(place(f"{work}/marks")[1], recursive=True)
+    end = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("ts").cast("date").cast("string")).first()[0]
+    later = [str(pd.Timestamp(end) + pd.Timedelta(days=d)) for d in (400, 401)] if end else []
+    out = None
+    for _ in (None, *runs.marks(spark, f"{work}/marks", later)):
+        closing = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{work}/marks")
+        out = to_end(runs.run_states(reports.unionByName(closing), limit, "10 minutes"), "append", work)
+    return out

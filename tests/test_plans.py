@@ -8,8 +8,8 @@ import __spark_entry__
 
 SF = "/root/testdata/sf0.001"
 #: Queries that run Python on the executors: fuzzy scores, pixels, per-run state.
-PYTHON = {"block_separation", "contain_check_score", "image_steps", "stream_state_machine"}
-STREAMS = {"stream_dedup", "file_arrival", "stream_state_machine"}
+PYTHON = {"block_separation", "contain_check_score", "image_steps"}
+STREAMS = {"stream_dedup", "file_arrival", "stream_state_machine", "exactly_once_intake", "run_state_moves", "page_intake", "page_intake_stream", "transactional_insert"}
 CORE = [k for k in __spark_entry__.queries() if not k.startswith("op") and k != "pipeline" and k not in STREAMS]
 
 
