@@ -195,11 +195,11 @@ def line_components(img: np.ndarray, least: int = 51) -> list[tuple[int, int, in
     return components(np.maximum(opening(ink, 1, across), opening(ink, down, 1)), least, corners=True)
 
 
-def separate_area(img: np.ndarray, area_type: str = "top_left", offset: Sequence[int] | None = None, width: int | None = None, height: int | None = None) -> np.ndarray:
-    """A box cropped from one of nine anchors; -1 reaches to the edge. Without a size, or where nothing is left, the image stays."""
+def area_box(shape: Sequence[int], area_type: str = "top_left", offset: Sequence[int] | None = None, width: int | None = None, height: int | None = None) -> tuple[int, int, int, int]:
+    """x0, y0, x1, y1 of a box at one of nine anchors; -1 reaches to the edge. Without a size, or where nothing is left, the whole."""
+    h, w = shape[:2]
     if width is None or height is None:
-        return img
-    h, w = img.shape[:2]
+        return 0, 0, w, h
     y0, x0 = {"top": (0, 0), "center": (h // 2, 0), "bottom": (h, 0)}.get(area_type.split("_")[0], (0, 0))
     x0 = {"left": 0, "center": w // 2, "right": w}.get(area_type.split("_")[-1], 0)
     if area_type not in {f"{v}_{k}" for v in ("top", "center", "bottom") for k in ("left", "center", "right")} - {"center_center"} | {"center"}:
@@ -207,7 +207,13 @@ def separate_area(img: np.ndarray, area_type: str = "top_left", offset: Sequence
     x0, y0 = x0 + (offset or (0, 0))[0], y0 + (offset or (0, 0))[1]
     x1, y1 = w if width == -1 else min(w, x0 + width), h if height == -1 else min(h, y0 + height)
     x0, y0 = max(0, x0), max(0, y0)
-    return img if x0 >= x1 or y0 >= y1 else img[y0:y1, x0:x1]
+    return (0, 0, w, h) if x0 >= x1 or y0 >= y1 else (x0, y0, x1, y1)
+
+
+def separate_area(img: np.ndarray, area_type: str = "top_left", offset: Sequence[int] | None = None, width: int | None = None, height: int | None = None) -> np.ndarray:
+    """The image cropped to area_box()."""
+    x0, y0, x1, y1 = area_box(img.shape, area_type, offset, width, height)
+    return img if (x0, y0, x1, y1) == (0, 0, img.shape[1], img.shape[0]) else img[y0:y1, x0:x1]
 
 
 def trim_to_lines(img: np.ndarray, line_ratios: Sequence[float] = (0.05, 0.05), padding_ratios: Sequence[float] = (0.01, 0.01, 0.01, 0.01)) -> np.ndarray:
@@ -248,38 +254,6 @@ def keep_under_mask(img: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return out
 
 
-def split_blank(img: np.ndarray, min_start: int, min_gap: int, axis: int = 1) -> list[tuple[int, int]]:
-    """Two spans along an axis, cut in the middle of the first blank run of min_gap that starts after min_start; else one."""
-    blank = ~(gray(img) <= 127).any(axis=1 - axis)
-    edge = np.diff(np.concatenate([[0], blank.view(np.int8), [0]]))
-    for a, b in zip(np.nonzero(edge == 1)[0].tolist(), np.nonzero(edge == -1)[0].tolist()):
-        if a > min_start and b - a >= min_gap and b < blank.size:
-            return [(0, (a + b) // 2), ((a + b) // 2, blank.size)]
-    return [(0, blank.size)]
-
-
-def split_lines(img: np.ndarray, share: float = 0.7, gap: int = 15, most: int = 300) -> list[tuple[int, int, int, int]]:
-    """Boxes between ruled lines: cut by horizontal and vertical lines in turn until neither cuts a box any more."""
-    out, todo, pops = [], [(0, 0, img.shape[1], img.shape[0], True, False)], 0
-    while todo:
-        x, y, w, h, across, failed = todo.pop(0)
-        pops += 1
-        part = img[y : y + h, x : x + w]
-        ink = threshold(part, inverse=True) > 0
-        if pops > most or ink.mean() > 0.6:
-            out.append((x, y, w, h))
-            continue
-        full = ink.mean(axis=1 if across else 0) >= share
-        edges = sorted({0, h if across else w, *np.nonzero(full)[0].tolist()})
-        spans = [(a, b) for a, b in zip(edges, edges[1:]) if b - a >= gap]
-        if len(spans) <= 1:
-            (out.append((x, y, w, h)) if failed else todo.append((x, y, w, h, not across, True)))
-            continue
-        for a, b in spans:
-            todo.append((x, y + a, w, b - a, False, False) if across else (x + a, y, b - a, h, True, False))
-    return sorted(out, key=lambda v: (v[1], v[0]))
-
-
 def union_mask(images: Sequence[np.ndarray], least: float = 0.0025) -> np.ndarray | None:
     """Line masks of a layout's samples, centred on the largest size and joined; None where lines cover less than `least` of the page."""
     h, w = max(i.shape[0] for i in images), max(i.shape[1] for i in images)

@@ -27,17 +27,16 @@ def correct(blocks: DataFrame, template: DataFrame, common: Column, block_fixes:
     return placed.join(fixes, same, "left").select(*(F.col(c) for c in blocks.columns if c != "text"), F.coalesce("correct", "text").alias("text"))
 
 
-def structure(words: DataFrame, template: DataFrame, common: Column, block_fixes: DataFrame | None = None, gap: float | None = None) -> DataFrame:
-    """doc_id, kind, table_name, id, column_name, text of each document.
+def structure(words: DataFrame, template: DataFrame, common: Column, block_fixes: DataFrame | None = None, gap: float | None = None, sections: dict[str, int] | None = None) -> DataFrame:
+    """doc_id, section, kind, table_name, id, col, column_name, text of each document.
 
-    words: doc_id, section, x, y, text of leaf blocks. kind `record`: a value, id is its record's number within the document and table; `mismatch`: a key text
-    that isn't the template's, id is its row; `missing`: a template cell without a block, id is its row. Documents with errors keep what fits.
+    words: doc_id, section, x, y, text of leaf blocks, and block_id, which settles the order of blocks at one place (without it, the text does). kind `record`:
+    a value, id is its record's number within the document and table, where sections that fill one table are merged, later ones (by `sections`: name to place)
+    winning; `length`: a record that the table's first section has no place for; `mismatch`: a key text that isn't the template's, `missing`: a template cell
+    without a block, id and col are their place in the section. Documents with errors keep what fits.
     """
-    numbered = words.withColumn("_order", F.struct("y", "x", "text"))
+    last = "block_id" if "block_id" in words.columns else "text"
+    numbered = words.withColumn("_order", F.struct("y", "x", last)).repartition("doc_id", "section")
     placed = grid.grid(numbered, ["doc_id", "section"], "x", "y", "_order", gap).select("doc_id", "section", "row", "col", "text")
     matched = structuring.match_template(correct(placed, template, common, block_fixes), template)
-    records = structuring.records(matched).select("doc_id", F.lit("record").alias("kind"), "table_name", F.col("record_no").alias("id"), "column_name", "text")
-    none = F.lit(None).cast("string")
-    odd = matched.where("cell_type = 'key' or not found").withColumn("kind", F.when(F.col("found"), "mismatch").otherwise("missing"))
-    odd = odd.where(~F.col("found") | ~T.same_key(F.coalesce("text", F.lit("")), F.coalesce("default_text", F.lit(""))))
-    return records.unionByName(odd.select("doc_id", "kind", none.alias("table_name"), F.col("row").cast("int").alias("id"), none.alias("column_name"), "text"))
+    return structuring.merge_sections(structuring.outcomes(matched), sections)

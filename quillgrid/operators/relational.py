@@ -111,12 +111,14 @@ def hierarchy(edges: DataFrame, node: str, parent: str) -> DataFrame:
 
 
 def page_merge(pages: DataFrame, by: Sequence[str], page: str, rows: str) -> DataFrame:
-    """Row lists of consecutive pages folded into one: when the first rows share no key and the lists are as long, rows merge by position (the later
-    value wins); otherwise they are appended. `rows` is array<map<string, string>>."""
+    """Row lists of consecutive pages folded into one. A page's first row is held against the row that the fold so far has as many rows from its end as the page has
+    rows (its first one, if it has fewer): when they share no key and the lists are as long, rows merge by position (the later value wins); otherwise they
+    are appended. A page without rows changes nothing. `rows` is array<map<string, string>>."""
     def fold(acc: Column, item: Column) -> Column:
-        shared = F.arrays_overlap(F.map_keys(F.try_element_at(acc, F.lit(1))), F.map_keys(F.try_element_at(item, F.lit(1))))
+        over = F.greatest(F.lit(1), F.size(acc) - F.size(item) + 1)
+        shared = F.arrays_overlap(F.map_keys(F.try_element_at(acc, over)), F.map_keys(F.try_element_at(item, F.lit(1))))
         merged = F.zip_with(acc, item, lambda a, b: F.map_concat(F.map_filter(a, lambda k, _: ~F.array_contains(F.map_keys(b), k)), b))
-        return F.when(F.size(acc) == 0, item).when(F.coalesce(shared, F.lit(True)) | (F.size(acc) != F.size(item)), F.concat(acc, item)).otherwise(merged)
+        return F.when(F.size(item) == 0, acc).when(F.size(acc) == 0, item).when(F.coalesce(shared, F.lit(True)) | (F.size(acc) != F.size(item)), F.concat(acc, item)).otherwise(merged)
 
     ordered = pages.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(page, F.to_json(rows).alias("r")))).alias("p"))
     lists = F.transform("p", lambda s: F.from_json(s["r"], "array<map<string,string>>"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillgrid.functions import imaging
 from quillgrid.operators import assembly, blocks, learning
+from quillgrid.operators import document_run as run_of
 from quillgrid.operators import structuring as R
 from quillgrid.plans.catalogue import query, read
 
@@ -148,3 +152,60 @@ def block_separation(spark, sf_dir):
     pages = e.select("vec_id", F.lit("b").alias("block_id"), F.lit(5).alias("x"), F.lit(7).alias("y"), F.lit(90).alias("height"), F.lit(120).alias("width"), F.lit(1).alias("channels"), pixels.alias("data"))
     steps = [("separate_block_by_line", {}), ("split_image_by_left_ratio", {"split_ratio": 0.4})]
     return blocks.separate(pages, steps, ["vec_id"]).select("vec_id", "block_id", "x", "y", "w", "h", "child")
+
+
+#: Pages of the run: 160 wide, rows of 24 between lines of 2, two cells a row. A cell shows a number as 16 bars behind a mark.
+CELL, LINE, BITS = (24, 80), 2, 16
+
+
+def _draw(batches):
+    for b in batches:
+        out = []
+        for doc, page, key, nation in zip(b["doc_id"], b["page_num"], b["s_suppkey"], b["s_nationkey"]):
+            # a header with names and values, then as many lines as the supplier's key says
+            rows = [(3 if key % 5 == 0 else 1, 2), (key, nation)] + [(k, (key * 7 + k) % 1000) for k in range(1, key % 4 + 2)]
+            img = np.full((LINE + len(rows) * (CELL[0] + LINE), 2 * CELL[1]), 255, np.uint8)
+            for i, row in enumerate(rows):
+                y = i * (CELL[0] + LINE)
+                img[y : y + LINE] = 0
+                for j, value in enumerate(row):
+                    x = j * CELL[1]
+                    img[y + 8 : y + 20, x + 2 : x + 4] = 0
+                    for bit in range(BITS):
+                        if value >> bit & 1:
+                            img[y + 8 : y + 20, x + 8 + 4 * bit : x + 10 + 4 * bit] = 0
+            img[-LINE:] = 0
+            out.append((doc, page, img.shape[0], img.shape[1], 1, img.tobytes()))
+        yield pd.DataFrame(out, columns=["doc_id", "page_num", "height", "width", "channels", "data"])
+
+
+def read_bars(images):
+    """The recogniser of the drawn pages: a cell's number, with stray characters as recognition has them; without a mark nothing."""
+    out = []
+    for img in images:
+        dark = (img < 128).sum(axis=0) > 6
+        value = sum(1 << bit for bit in range(BITS) if dark.size > 8 + 4 * bit and dark[8 + 4 * bit])
+        out.append((f" {value}% ", 1.0) if dark.size > 2 and dark[2] else ("", 0.0))
+    return out
+
+
+@query(
+    """WITH s AS (SELECT s_nationkey AS doc, s_suppkey AS key, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS page FROM supplier),
+    l AS (SELECT doc, page, key, k, row_number() OVER (PARTITION BY doc ORDER BY page, k) AS id FROM s, (SELECT unnest(range(1, 5)) AS k) WHERE k <= key % 4 + 1)
+    SELECT doc AS doc_id, NULL::INT AS page_num, 'record' AS kind, 't_head' AS table_name, page::INT AS id, c AS column_name, CASE c WHEN 'supplier' THEN key ELSE doc END::VARCHAR AS text FROM s, (VALUES ('supplier'), ('nation')) AS v(c)
+    UNION ALL SELECT doc, NULL, 'record', 't_line', id::INT, c, CASE c WHEN 'line' THEN k::VARCHAR WHEN 'amount' THEN replace(((key * 7 + k) % 1000)::VARCHAR, '77', 'seven') END FROM l, (VALUES ('line'), ('amount')) AS v(c)
+    UNION ALL SELECT doc, page::INT, 'mismatch', NULL, 1, 'unmatched' || row_number() OVER (PARTITION BY doc ORDER BY page), '3' FROM s WHERE key % 5 = 0"""
+)
+def document_run(spark, sf_dir):
+    """Pages drawn from the suppliers, a nation's suppliers being a document: cropped into two sections, cut at lines and in halves, recognised, cleansed, matched, merged."""
+    s = read(spark, sf_dir, "supplier")
+    s = s.select(F.col("s_nationkey").alias("doc_id"), F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey")).alias("page_num"), "s_suppkey", "s_nationkey")
+    s = s.repartition(spark.sparkContext.defaultParallelism)  # numbers move, not pixels
+    drawn = s.mapInPandas(_draw, f"doc_id {s.schema['doc_id'].dataType.simpleString()}, page_num int, height int, width int, channels int, data binary")
+    cut = [("separate_block_by_line", {}), ("split_image_by_left_ratio", {"split_ratio": 0.5})]
+    top = 2 * (CELL[0] + LINE)
+    sections = [run_of.Section("head", {"width": -1, "height": top + LINE}, separate=cut), run_of.Section("lines", {"offset": (0, top), "width": -1, "height": -1}, separate=cut)]
+    cells = [("head", "ONE_ROW", 1, 1, "key", None, None, "1"), ("head", "ONE_ROW", 1, 2, "key", None, None, "2"), ("head", "ONE_ROW", 2, 1, "val", "t_head", "supplier", None), ("head", "ONE_ROW", 2, 2, "val", "t_head", "nation", None)]
+    cells += [("lines", "MULTI_ROW", 1, 1, "val", "t_line", "line", None), ("lines", "MULTI_ROW", 1, 2, "val", "t_line", "amount", None)]
+    fixes = F.array(F.struct(F.lit("77").alias("err"), F.lit("seven").alias("fix")))
+    return run_of.run(drawn, sections, spark.createDataFrame(cells, TEMPLATE_SCHEMA), read_bars, fixes, gap=12)

@@ -224,7 +224,13 @@ def first_seen_dedup(spark, sf_dir):
     return G.first_seen(read(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id").select("event_id")
 
 
-@query()
+@query(
+    """WITH RECURSIVE p AS (SELECT conv_id, role || (turn % 3) AS key, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
+    f AS (SELECT conv_id, k, 1 AS n_rows, 1 AS n_cells, [key] AS first, [key] AS last FROM p WHERE k = 1
+          UNION ALL SELECT conv_id, k, CASE WHEN joins THEN 1 ELSE n_rows + 1 END, n_cells + 1, CASE WHEN joins THEN list_append(first, key) ELSE first END, CASE WHEN joins THEN list_append(first, key) ELSE [key] END
+          FROM (SELECT p.conv_id, p.k, p.key, f.n_rows, f.n_cells, f.first, f.last, f.n_rows = 1 AND NOT list_contains(f.last, p.key) AS joins FROM f JOIN p ON p.conv_id = f.conv_id AND p.k = f.k + 1))
+    SELECT conv_id, max_by(n_rows, k)::INT AS n_rows, max(n_cells)::INT AS n_cells FROM f GROUP BY conv_id"""
+)
 def page_merge_fold(spark, sf_dir):
     c = read(spark, sf_dir, "conversations")
     pages = c.select("conv_id", "turn", F.array(F.create_map(F.concat("role", (F.col("turn") % 3).cast("string")), F.col("text"))).alias("rows"))

@@ -281,11 +281,6 @@ def test_imaging():
     big = np.kron(img, np.ones((4, 4), np.uint8))
     assert abs(imaging.skew(imaging.rotate(big, 3.0)) + 3.0) <= 0.5
     assert len(imaging.components(imaging.lines(img))) == 2
-    assert imaging.split_lines(img) == [(0, 0, 80, 20), (0, 20, 80, 20), (0, 40, 80, 20)]
-    cols = np.full((10, 30), 255, np.uint8)
-    cols[:, :8] = 0
-    cols[:, 20:] = 0
-    assert imaging.split_blank(cols, 2, 5) == [(0, 14), (14, 30)]
     assert imaging.otsu(np.array([[10, 12, 200, 210]], np.uint8)) in range(12, 200)
     noise = np.zeros((5, 5), np.uint8)
     noise[2, 2] = 255
