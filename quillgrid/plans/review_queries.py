@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from quillgrid.operators import checks as C
 from quillgrid.operators import load as D
 from quillgrid.operators import mapping as M
+from quillgrid.operators.relational import work_folder
 from quillgrid.plans.catalogue import query, read
+from quillgrid.sources import workbook as W
 
 
 @query(
@@ -163,6 +165,26 @@ def insert_third_level(spark, sf_dir):
     return _insert(spark, sf_dir)[0]["line"].select("doc_id", F.col("_id").alias("id"), F.col("pk").cast("bigint").alias("pk"), "parent_pk")
 
 
+@query(
+    f"""WITH {_INSERT}, cells AS (SELECT doc_id, 'head' AS table_name, pk, {{'_id': id::VARCHAR, 'doc_id': doc_id::VARCHAR, 'pk': pk::VARCHAR}} AS m, NULL::VARCHAR AS parent FROM roots
+      UNION ALL SELECT doc_id, 'order', pk, {{'_id': id::VARCHAR, 'doc_id': doc_id::VARCHAR, 'pk': pk::VARCHAR}}, parent_pk::VARCHAR FROM mid
+      UNION ALL SELECT doc_id, 'line', pk, {{'_id': id::VARCHAR, 'doc_id': doc_id::VARCHAR, 'pk': pk::VARCHAR}}, parent_pk::VARCHAR FROM leaf),
+    r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, table_name ORDER BY pk)::INT AS row FROM cells)
+    SELECT doc_id::VARCHAR AS doc_id, table_name, row, c AS column_name, CASE c WHEN '_id' THEN m._id WHEN 'doc_id' THEN m.doc_id WHEN 'pk' THEN m.pk ELSE parent END AS value
+    FROM r, (VALUES ('_id'), ('doc_id'), ('pk'), ('parent_pk')) AS v(c) WHERE c <> 'parent_pk' OR parent IS NOT NULL"""
+)
+def complete_map_workbooks(spark, sf_dir):
+    """What was inserted for each customer, found through the list of keys, written as workbooks and read again sheet by sheet."""
+    done, kept, _ = _insert(spark, sf_dir)
+    catalogue = spark.createDataFrame([(i, n, c, "Y" if c == "pk" else "N") for i, n in enumerate(done) for c in ("doc_id", "pk")], "table_id int, table_name string, column_name string, is_pk string")
+    numbers = catalogue.select("table_id", "table_name").distinct()
+    inserted = kept.join(numbers, "table_name").select("doc_id", "table_id", F.col("pk").alias("pk_value"))
+    stored = {n: d.select("doc_id", "_id", "pk", "parent_pk") for n, d in done.items()}
+    folder = work_folder(spark)
+    W.write_workbooks(W.read_back(inserted, catalogue, stored), folder)
+    return W.read_workbooks(spark, folder)
+
+
 @query(
     f"""WITH {_INSERT}, b AS (SELECT doc_id, n FROM c WHERE n > 9 OR n % 2 = 0)
     SELECT doc_id, 'head' AS table_name, i::BIGINT AS id, 'several roots' AS reason FROM b, (VALUES (1), (2)) AS v(i) WHERE n <= 9

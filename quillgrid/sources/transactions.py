@@ -204,7 +204,7 @@ class Tables:
 
 
 def _safe(name: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_.-]", lambda m: f"%{ord(m.group()):x}", name)
+    return re.sub(r"[^A-Za-z0-9_.-]", lambda m: f"%{ord(m.group()):06x}", name)
 
 
 def _schema(text: str):
