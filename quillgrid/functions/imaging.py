@@ -218,12 +218,10 @@ def separate_area(img: np.ndarray, area_type: str = "top_left", offset: Sequence
 
 def trim_to_lines(img: np.ndarray, line_ratios: Sequence[float] = (0.05, 0.05), padding_ratios: Sequence[float] = (0.01, 0.01, 0.01, 0.01)) -> np.ndarray:
     """Cropped to the long lines, with padding (top, bottom, left, right) by the content's size, filled with the border's colour where it leaves the page."""
-    ink = dilate(threshold(img, otsu(img), inverse=True))
-    h, w = ink.shape
-    found = np.zeros_like(ink)
-    for kh, kw in ((1, int(w * line_ratios[0])), (int(h * line_ratios[1]), 1)):
-        if max(kh, kw) >= 2:
-            found |= dilate(dilate(erode(erode(ink, kh, kw), kh, kw), kh, kw), kh, kw)
+    from quillgrid.functions.measure import long_lines
+
+    h, w = img.shape[:2]
+    found = long_lines(img, line_ratios)
     ys, xs = np.nonzero(found)
     # without a line the reference takes one row and one column more than there are
     y0, y1, x0, x1 = (ys.min(), ys.max() + 1, xs.min(), xs.max() + 1) if ys.size else (0, h + 1, 0, w + 1)
@@ -279,23 +277,50 @@ def to_array(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
     return a.reshape(height, width) if channels == 1 else a.reshape(height, width, channels)
 
 
-def apply_steps(df: DataFrame, steps: Sequence[tuple[str, dict]], keep: Sequence[str] = ()) -> DataFrame:
-    """Runs named steps on every image row (columns of IMAGE), in one pass over Arrow batches. Unknown names are skipped with a warning."""
+def step(img: np.ndarray, name: str, params: dict, found: dict[str, float]) -> np.ndarray:
+    """One step. Steps that measure put what they find into `found`: angles under angle_<angle_key>, paddings under <result_key>_top, _bottom, _left, _right; `rotate` with
+    angle_keys turns by the sum of those angles."""
+    from quillgrid.functions import measure
+
+    if name in measure.MEASURES:
+        params = {k: v for k, v in params.items() if k != "iter_save"}
+        key = params.pop("angle_key")
+        angle = measure.MEASURES[name](img, **params)
+        found[f"angle_{key}"] = float(angle)
+        return rotate(img, angle) if angle else img
+    if name == "calc_padding_set2":
+        key = params.get("result_key", "_pad")
+        for side, share in zip(("top", "bottom", "left", "right"), measure.paddings(img, params.get("line_ratios", (0.05, 0.05)))):
+            found[f"{key}_{side}"] = share
+        return img
+    if name == "rotate" and "angle_keys" in params:
+        return rotate(img, sum(found.get(f"angle_{k}", 0.0) for k in params["angle_keys"]))
+    own = {"canny": measure.canny, "denoising": measure.like_patches, "denoising1": measure.like_patches}
+    return (own[name] if name in own else STEPS[name])(img, **params)
+
+
+#: Steps of functions.measure.
+MEASURING = ("calc_angle_set1", "calc_angle_set2", "calc_angle_set3", "calc_angle_set4", "calc_padding_set2", "canny", "denoising", "denoising1")
+
+
+def apply_steps(df: DataFrame, steps: Sequence[tuple[str, dict]], keep: Sequence[str] = (), measured: bool = False) -> DataFrame:
+    """Runs named steps on every image row (columns of IMAGE), in one pass over Arrow batches. Unknown names are skipped with a warning. With `measured`, what steps
+    measured comes along as a map."""
+    known = [(n, p) for n, p in steps if n in STEPS or n in MEASURING]
     for n, _ in steps:
-        if n not in STEPS:
+        if n not in STEPS and n not in MEASURING:
             warnings.warn(f"unknown step {n}", stacklevel=2)
-    chosen = [(STEPS[n], p) for n, p in steps if n in STEPS]
-    schema = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep), IMAGE])
+    schema = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep), IMAGE, *(["measured map<string,double>"] if measured else [])])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for h, w, c, data in zip(b["height"], b["width"], b["channels"], b["data"]):
-                img = to_array(h, w, c, data)
-                for f, p in chosen:
-                    img = f(img, **p)
-                out.append((img.shape[0], img.shape[1], 1 if img.ndim == 2 else img.shape[2], np.ascontiguousarray(img).tobytes()))
-            made = pd.DataFrame(out, columns=["height", "width", "channels", "data"])
-            yield pd.concat([b[list(keep)].reset_index(drop=True), made], axis=1)
+                img, found = to_array(h, w, c, data), {}
+                for n, p in known:
+                    img = step(img, n, p, found)
+                out.append((img.shape[0], img.shape[1], 1 if img.ndim == 2 else img.shape[2], np.ascontiguousarray(img).tobytes(), found))
+            made = pd.DataFrame(out, columns=["height", "width", "channels", "data", "measured"])
+            yield pd.concat([b[list(keep)].reset_index(drop=True), made if measured else made.drop(columns="measured")], axis=1)
 
     return df.select(*keep, "height", "width", "channels", "data").mapInPandas(run, schema)

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quillgrid.functions import imaging
+from quillgrid.functions import imaging, measure
 from quillgrid.operators import assembly, blocks, learning
 from quillgrid.operators import document_run as run_of
 from quillgrid.operators import structuring as R
@@ -209,3 +209,27 @@ def document_run(spark, sf_dir):
     cells += [("lines", "MULTI_ROW", 1, 1, "val", "t_line", "line", None), ("lines", "MULTI_ROW", 1, 2, "val", "t_line", "amount", None)]
     fixes = F.array(F.struct(F.lit("77").alias("err"), F.lit("seven").alias("fix")))
     return run_of.run(drawn, sections, spark.createDataFrame(cells, TEMPLATE_SCHEMA), read_bars, fixes, gap=12)
+
+
+def _lines(batches):
+    """Pages of 200 x 200 with three parallel lines that rise by a supplier's angle."""
+    y, x = np.mgrid[:200, :200] - 100
+    for b in batches:
+        out = []
+        for key, degrees in zip(b["s_suppkey"], b["angle"]):
+            a = np.deg2rad(degrees)
+            away, along = x * np.sin(a) + y * np.cos(a), x * np.cos(a) - y * np.sin(a)
+            img = np.full((200, 200), 255, np.uint8)
+            for at in (-50, -12, 35):
+                img[(np.abs(away - at) < 1.5) & (np.abs(along) < 84)] = 0
+            out.append((key, 200, 200, 1, img.tobytes()))
+        yield pd.DataFrame(out, columns=["s_suppkey", "height", "width", "channels", "data"])
+
+
+@query("SELECT s_suppkey, -(s_suppkey * 7 % 81 - 40)::DOUBLE AS turn FROM supplier")
+def line_angles(spark, sf_dir):
+    """The turn that straightens pages with lines at -40 to 40 degrees: edges, votes, the commonest angle. To a degree."""
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_suppkey") * 7 % 81 - 40).cast("double").alias("angle")).repartition(spark.sparkContext.defaultParallelism)
+    kind = s.schema["s_suppkey"].dataType.simpleString()
+    pages = s.mapInPandas(_lines, f"s_suppkey {kind}, height int, width int, channels int, data binary")
+    return measure.skews(pages, ["s_suppkey"], least=80, step=0.25).select("s_suppkey", (F.round("turn") + 0).alias("turn"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quillgrid.operators import listing as L
 from quillgrid.operators import relational as R
+from quillgrid.operators import relations as N
 from quillgrid.plans.catalogue import query, read
 
 
@@ -247,3 +248,33 @@ def grouping_sets_cube(spark, sf_dir):
 @query("SELECT l_suppkey, round(quantile_cont(l_quantity, 0.75), 6) AS p75, round(quantile_cont(l_quantity, 0.5), 6) AS median FROM lineitem GROUP BY l_suppkey")
 def percentile_thresholds(spark, sf_dir):
     return read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.round(F.percentile("l_quantity", 0.75), 6).alias("p75"), F.round(F.percentile("l_quantity", 0.5), 6).alias("median"))
+
+
+def _relations(spark, sf_dir):
+    r = N.Relations({t: read(spark, sf_dir, t) for t in ("region", "nation", "customer", "supplier", "orders", "lineitem")})
+    r.add("nation", "n_regionkey", "region", "r_regionkey").add("customer", "c_nationkey", "nation", "n_nationkey").add("supplier", "s_nationkey", "nation", "n_nationkey")
+    return r.add("orders", "o_custkey", "customer", "c_custkey").add("lineitem", "l_orderkey", "orders", "o_orderkey", back="lines").add("lineitem", "l_suppkey", "supplier", "s_suppkey")
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_partkey, cn.n_name AS orders_customer_nation_n_name, sn.n_name AS supplier_nation_n_name, cr.r_name AS orders_region_r_name
+    FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation cn ON cn.n_nationkey = c_nationkey LEFT JOIN region cr ON cr.r_regionkey = cn.n_regionkey
+    LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN nation sn ON sn.n_nationkey = s_nationkey
+    WHERE cn.n_name > 'F' AND o_totalprice > 20000 AND cn.n_name IS DISTINCT FROM 'JAPAN' AND lower(sn.n_name) LIKE '%a%'"""
+)
+def relation_paths(spark, sf_dir):
+    """Lines by the nations of their customers and of their suppliers: `nation` is met by two ways, each relation is joined once."""
+    lines = _relations(spark, sf_dir).of("lineitem").where("orders.customer.nation.n_name", "gt", "F").where("orders.o_totalprice", "gt", 20000).where("orders.nation.n_name", "neq", "JAPAN")
+    lines = lines.where("supplier.nation.n_name", "contains", "A").sort("-supplier.nation.n_name", "orders.customer.c_acctbal")
+    return lines.select("l_orderkey", "l_linenumber", "l_partkey", "orders.customer.nation.n_name", "supplier.nation.n_name", "orders.region.r_name")
+
+
+@query(
+    """SELECT o_orderkey, c_name AS customer_c_name FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+    WHERE EXISTS (SELECT 1 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey WHERE l_orderkey = o_orderkey AND n_name < 'G')
+    AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')"""
+)
+def relation_to_many(spark, sf_dir):
+    """Orders with a line from some nations' suppliers and without a returned line: conditions over many rows are semi joins."""
+    orders = _relations(spark, sf_dir).of("orders").where("lines.supplier.nation.n_name", "lt", "G").where("lines.l_returnflag", "neq", "R")
+    return orders.select("o_orderkey", "customer.c_name")

@@ -266,8 +266,8 @@ def test_image_steps_of_the_registry(spark):
     assert (kept[20:31, 25:36] == 0).all() and (kept == 0).sum() == 3 * 121
     assert (imaging.keep_under_mask(np.zeros((11, 11), np.uint8), mask) == 0).all()
     df = spark.createDataFrame([(2, 2, 1, bytearray(4))], imaging.IMAGE)
-    with pytest.warns(UserWarning, match="unknown step canny"):
-        imaging.apply_steps(df, [("canny", {})])
+    with pytest.warns(UserWarning, match="unknown step text_orientation_set"):
+        imaging.apply_steps(df, [("text_orientation_set", {})])
 
 
 def test_imaging():
