@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from quillgrid.operators import checks as C
 from quillgrid.operators import load as D
+from quillgrid.functions import text as T
 from quillgrid.operators import mapping as M
+from quillgrid.operators import review as V
 from quillgrid.operators.relational import work_folder
 from quillgrid.plans.catalogue import query, read
 from quillgrid.sources import workbook as W
+from quillgrid.sources.transactions import Tables
 
 
 @query(
@@ -209,3 +212,81 @@ def hierarchy_violations(spark, sf_dir):
 def translation_log_rows(spark, sf_dir):
     log = read(spark, sf_dir, "labels").select(F.lit("documents").alias("table_name"), F.col("doc_id").alias("row_key"))
     return D.translation_rows(read(spark, sf_dir, "documents"), "doc_id", "documents", ["lang", "source"], F.col("text") != "en", log)
+
+
+@query(
+    """WITH l AS (SELECT s_nationkey AS doc, s_suppkey AS id, s_suppkey % 4 = 0 AS model, s_suppkey % 3 <> 0 AS mask, s_suppkey % 5 <> 0 AS template, EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_quantity > 45) AS has
+      FROM supplier WHERE s_suppkey % 3 > 0)
+    SELECT n_nationkey AS doc_class_id, NULL::BIGINT AS layout_class_id, 'active layouts' AS rule, NULL::VARCHAR AS detail FROM nation WHERE n_nationkey NOT IN (SELECT doc FROM l)
+    UNION ALL SELECT doc, id, 'IMG_PREPROCESS_INFO', NULL FROM l WHERE id % 8 = 1 UNION ALL SELECT doc, id, 'CLASSIFY_AI_INFO', NULL FROM l WHERE id % 10 < 2
+    UNION ALL SELECT doc, id, 'model', 'class/' || doc || '/' || id || '/classify/model' FROM l WHERE NOT model
+    UNION ALL SELECT doc, id, 'sections', NULL FROM l WHERE NOT has
+    UNION ALL SELECT doc, id, 'template file', 'template/' || id || '.png' FROM l WHERE has AND id % 2 = 0 AND NOT template
+    UNION ALL SELECT doc, id, 'mask image', 'class/' || doc || '/' || id || '/classify/asset/mask_image.png' FROM l WHERE has AND id % 11 = 0"""
+)
+def config_rules(spark, sf_dir):
+    """Nations as document classes, suppliers as their layouts, lines of large quantity as sections; the files are made up from the suppliers' keys."""
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    k = F.col("s_suppkey")
+    layouts = s.select(
+        F.col("s_nationkey").alias("doc_class_id"), k.alias("layout_class_id"), F.when(k % 3 > 0, "Y").otherwise("N").alias("use_yn"), F.when(k % 8 != 1, "{}").otherwise(" ").alias("img_preprocess_info"),
+        F.when(k % 10 >= 2, "{}").alias("classify_ai_info"), F.lit("").alias("ai_model_dir"), F.when(k % 2 == 0, F.concat(F.lit("template/"), k.cast("string"), F.lit(".png"))).alias("template_file_path"),
+    )
+    own = F.concat(F.lit("class/"), F.col("s_nationkey").cast("string"), F.lit("/"), k.cast("string"), F.lit("/classify/"))
+    paths = F.array(F.when(k % 4 == 0, F.concat(own, F.lit("model/m.json"))), F.when(k % 11 != 0, F.concat(own, F.lit("asset/mask_image.png"))), F.when(k % 5 != 0, F.concat(F.lit("template/"), k.cast("string"), F.lit(".png"))))
+    files = s.select(F.explode(paths).alias("path")).where("path IS NOT NULL")
+    sections = read(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_suppkey").alias("layout_class_id"))
+    return V.config_violations(read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("doc_class_id")), layouts, sections, files, "class")
+
+
+_EDITS = """e AS (SELECT CASE WHEN l_linenumber = 1 THEN 'head' ELSE 'lines' END AS section, CASE WHEN l_linenumber < 2 THEN l_linenumber ELSE (l_linenumber - 2) % 2 + 2 END AS row, l_orderkey % 4 + 1 AS col,
+    replace(l_returnflag || ' ' || l_linestatus, ' ', '') AS error_text, CASE WHEN l_quantity > 25 THEN replace(l_returnflag || ' ' || l_linestatus, ' ', '') ELSE 'c' || (l_quantity::INT % 3) END AS correct_text FROM lineitem),
+    b AS (SELECT section, row, col, section || row || col AS block_id FROM (VALUES ('head', 1), ('lines', 2), ('lines', 3)) AS s(section, row), (VALUES (1), (2), (3)) AS c(col)),
+    p AS (SELECT e.*, block_id FROM e LEFT JOIN b USING (section, row, col) WHERE error_text <> correct_text)"""
+
+
+def _corrections(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem")
+    error = F.concat("l_returnflag", F.lit(" "), "l_linestatus")
+    edits = li.select(
+        F.when(F.col("l_linenumber") == 1, "head").otherwise("lines").alias("section"), F.col("l_linenumber").alias("row"), (F.col("l_orderkey") % 4 + 1).alias("col"), error.alias("error_text"),
+        F.when(F.col("l_quantity") > 25, error).otherwise(F.concat(F.lit(" c "), (F.col("l_quantity").cast("int") % 3).cast("string"))).alias("correct_text"),
+    )
+    sizes = spark.createDataFrame([("lines", 2, 2)], "section string, first int, step int")
+    blocks = spark.createDataFrame([(s, r, c, f"{s}{r}{c}") for s, r in (("head", 1), ("lines", 2), ("lines", 3)) for c in (1, 2, 3)], "section string, row int, col int, block_id string")
+    known = spark.createDataFrame([("head11", "NO", "c2"), ("lines21", "RF", "c0")], "block_id string, error_text string, correct_text string")
+    return V.corrections(edits, sizes, blocks, known)
+
+
+@query(
+    f"""WITH {_EDITS}, n AS (SELECT block_id, error_text, max(correct_text) AS correct_text FROM p WHERE block_id IS NOT NULL GROUP BY ALL)
+    SELECT * FROM n WHERE (block_id, error_text, correct_text) NOT IN (VALUES ('head11', 'NO', 'c2'), ('lines21', 'RF', 'c0'))"""
+)
+def review_corrections(spark, sf_dir):
+    """Edits of repeated rows counted for the template's row, without spaces, as new entries of the block dictionary."""
+    return _corrections(spark, sf_dir)[0]
+
+
+@query(f"WITH {_EDITS} SELECT section, row, col, error_text, correct_text, count(*) AS n FROM p WHERE block_id IS NULL GROUP BY ALL")
+def review_corrections_unplaced(spark, sf_dir):
+    return _corrections(spark, sf_dir)[1].groupBy("section", "row", "col", "error_text", "correct_text").agg(F.count("*").alias("n"))
+
+
+def _capitals(texts, langs):
+    """Stands for a translator: capitals with the language before them; Spanish fails."""
+    return [V.FAILED if lang == "es" else f"{lang}:{t.upper()}" for t, lang in zip(texts, langs)]
+
+
+@query(
+    """WITH c AS (SELECT doc_id, 'lang' AS column_name, lang AS text, lang FROM documents UNION ALL SELECT doc_id, 'source', source, '' FROM documents),
+    t AS (SELECT doc_id, column_name, text AS ori_text, lang || ':' || upper(text) AS trn_text FROM c WHERE trim(text) <> '' AND lang IN ('fr', 'de') AND column_name = 'lang')
+    SELECT 'documents' AS table_name, doc_id::VARCHAR AS row_key, column_name, ori_text, trn_text FROM t
+    UNION ALL SELECT 'documents', doc_id::VARCHAR, 'doc_id', doc_id::VARCHAR, doc_id::VARCHAR FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM t)"""
+)
+def translation_with_hook(spark, sf_dir):
+    """Documents' short columns through a translator, twice: the second time the log has all of them. English stays, Spanish fails."""
+    tables = Tables(spark, work_folder(spark))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    for run in ("first", "second"):
+        log = V.translate_tables(tables, [("gone", None, "id"), ("documents", docs, "doc_id")], lambda c: F.when(c != 'en', T.language_code(c)).otherwise(''), _capitals, run)
+    return log.select("table_name", "row_key", F.when(F.col("column_name") == "doc_id", "doc_id").otherwise(F.col("column_name")).alias("column_name"), "ori_text", "trn_text")
