@@ -353,7 +353,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
     """The rows of docs that stay when each component keeps its smallest id; all columns.
 
     Texts without words (null ones among them) and rows with a null id are in no component and stay. Rows that repeat an id with the same shingle set stay
-    once, which of them is open only where they differ in other columns or in white space and case; an id with several texts counts as several documents, of
+    once, that with the smallest hash of its columns (maps left out); an id with several texts counts as several documents, of
     which each stays unless it is in a component with a smaller one. Very long texts are compared whole. An empty table gives an empty result.
     """
     labelled, seed = _components(docs, "doc_id", "text", words, percent)
@@ -369,4 +369,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
     named = docs.mapInArrow(_named(seed, words, docs.columns, "text"), StructType([*docs.schema.fields, StructField("__quillgrid_sid", LongType())]))
     kept = named.join(_maybe_broadcast(cut(gone)), (F.col("doc_id") == F.col("__quillgrid_gone")) & (F.col("__quillgrid_sid") == F.col("__quillgrid_set")), "left_anti")
     alone = F.col("__quillgrid_sid").isNull() | F.col("doc_id").isNull()
-    return kept.where(~alone).dropDuplicates(["doc_id", "__quillgrid_sid"]).unionByName(kept.where(alone)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    mark = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()))
+    once = kept.where(~alone).groupBy("doc_id", "__quillgrid_sid").agg(F.min_by(F.struct(*columns), mark).alias("__quillgrid_row")).select("__quillgrid_row.*")
+    return once.unionByName(kept.where(alone).select(*columns))

@@ -19,8 +19,7 @@ from quillgrid.llm.common import cut, words
 
 WEIGHTS, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2
 BUCKET_BITS, SEED = 14, 20240501
-#: Patterns of several sources that are told apart, the largest first: their totals (not their documents) go to the driver. Texts of further ones count
-#: in each of their sources alone, which changes what is repeated but no source's amount.
+#: Patterns of several sources that one mix may have: their totals (not their documents) go to the driver. More are an error.
 MAX_PATTERNS = 100_000
 #: Sources that one mix may have.
 MAX_SOURCES = 100_000
@@ -117,15 +116,11 @@ def _patterns(known: DataFrame) -> tuple[DataFrame, dict[tuple, int]]:
     texts = known.where("size > 0").groupBy("content", "size").agg(F.array_sort(F.collect_set(F.struct("own"))).alias("in"))
     texts = cut(texts.select("content", "size", F.transform("in", lambda x: x["own"]).alias("sources")))
     several = texts.where("size(sources) > 1")
-    top = several.groupBy("sources").agg(F.sum("size").alias("words")).orderBy(F.desc("words"), F.xxhash64("sources")).limit(MAX_PATTERNS + 1)
-    top = [(list(r["sources"]), int(r["words"])) for r in top.collect()]
-    alone = texts.where("size(sources) = 1")
+    top = several.groupBy("sources").agg(F.sum("size").alias("words")).limit(MAX_PATTERNS + 1).collect()
     if len(top) > MAX_PATTERNS:
-        kept = F.broadcast(known.sparkSession.createDataFrame([(p,) for p, _ in top[:MAX_PATTERNS]], "p array<string>"))
-        left = several.join(kept, F.col("sources") == F.col("p"), "left_anti")
-        alone = alone.unionByName(left.select("content", "size", F.explode("sources").alias("s")).select("content", "size", F.array("s").alias("sources")))
-        several, top = several.join(kept, F.col("sources") == F.col("p"), "left_semi"), top[:MAX_PATTERNS]
-    words = {tuple(p): n for p, n in top}
+        raise ValueError(f"more than {MAX_PATTERNS} patterns of sources hold texts; join sources before they are mixed")
+    alone = texts.where("size(sources) = 1")
+    words = {tuple(r["sources"]): int(r["words"]) for r in top}
     words |= {tuple(r["sources"]): int(r["words"]) for r in alone.groupBy("sources").agg(F.sum("size").alias("words")).collect()}
     mine = F.array("own").alias("sources")
     if not top:

@@ -2,7 +2,8 @@
 
 What makes a text toxic is often one word in hundreds, so texts are cut into passages of PASSAGE words, and passages are the vectors: of words and
 their beginnings of 4 and 6 bytes (which let inflected forms meet), weighed by term frequency and by the document frequency over all documents. Labels take no
-part in the choice of terms; only bounds on document frequency do. The index holds a bounded sample of the labelled documents' passages. A toxic document's
+part in the choice of terms: all that several examples have count, but those of one document only, which no other text can share, and those of very many documents.
+The index holds all passages of a bounded sample of the labelled documents. A toxic document's
 passage is an example of toxicity only where its own nearest neighbours in other documents say so (edited nearest neighbours); the others are left out.
 
 Postings are cut into blocks of examples with the highest weight of each term in each. A query visits its best blocks, and then those whose bound
@@ -24,12 +25,12 @@ from quillgrid.llm.common import cut, fold, small_batches
 from quillgrid.llm.pieces import ranges
 from quillgrid.llm.scan import NOT_WORD, parts, scan
 
-#: Documents per class that are learned from, and of them passages of label 0 and of label 1 in the index.
+#: Documents per class that are learned from; of them, by a hash of their ids, as many go into the index as have so many passages of label 0 and of label 1 (one document at least).
 EXAMPLES, PASSAGES = 3000, (4000, 5000)
 #: Words of a passage, neighbours, examples per block, blocks that a query visits before it has a bound, and cells (query, example) at once.
-PASSAGE, NEAREST, BLOCK, FIRST, CELLS = 24, 24, 16, 24, 150_000
-#: A term of the index is in so many of its passages at least, and in a share of all documents within these bounds.
-MIN_PASSAGES, MIN_SHARE, MAX_SHARE = 3, 0.01, 0.2
+PASSAGE, NEAREST, BLOCK, FIRST, CELLS = 12, 16, 16, 12, 600_000
+#: A term of the index is in so many of its passages and of all documents at least, and in at most this share of all documents.
+MIN_PASSAGES, MIN_DOCS, MAX_SHARE = 3, 2, 0.2
 #: Rounds of editing, the vote that a passage needs in the last one, and the similarity that counts against label 1 in every vote.
 ROUNDS, KEEP, DOUBT = 3, 0.6, 0.05
 BEGINNINGS = (4, 6)
@@ -116,11 +117,19 @@ class Index:
         self.n, self.blocks = n, -(-max(n, 1) // BLOCK)
         order = np.lexsort((ex, term))
         self.ex, self.weight, term = ex[order].astype(np.int32), weight[order], term[order]
-        self.block, self.inside = self.ex // BLOCK, self.ex % BLOCK
-        at = np.searchsorted(term, np.arange(n_terms + 1))
-        self.at, self.lens = at[:-1].astype(np.int32), np.diff(at)
-        self.top = np.zeros((n_terms, self.blocks), np.float32)
-        np.maximum.at(self.top.reshape(-1), term * self.blocks + self.block, np.nextafter(self.weight.astype(np.float32), np.float32(2)))
+        self.inside = self.ex % BLOCK
+        self.lens = np.diff(np.searchsorted(term, np.arange(n_terms + 1)))
+        # a term's postings by block, with the highest weight in each
+        block = self.ex // BLOCK
+        new = np.ones(term.size, bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        self.first = np.nonzero(new)[0].astype(np.int32)
+        self.size = np.diff(np.append(self.first, term.size)).astype(np.int32)
+        self.block = block[self.first]
+        self.top = np.maximum.reduceat(self.weight, self.first) if term.size else np.zeros(0)
+        at = np.searchsorted(term[self.first], np.arange(n_terms + 1))
+        self.at, self.blocks_of = at[:-1].astype(np.int32), np.diff(at)
+        self.read, self.all = 0, 0  # postings read, and postings of the terms asked for
 
     def nearest(self, first: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, leave: np.ndarray | None = None, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, example, cosine) of every query's k examples with the highest cosine above 0, best first (ties: the earlier example).
@@ -141,48 +150,43 @@ class Index:
 
     def _some(self, begin, t, w, k, leave, group):
         n, blocks = begin.size - 1, self.blocks
-        q = np.repeat(np.arange(n), np.diff(begin))
-        bound = np.zeros((n, blocks), np.float32)
-        some = np.nonzero(np.diff(begin))[0]
-        if some.size:
-            rows = self.top[t]
-            rows *= w[:, None].astype(np.float32)
-            bound[some] = np.add.reduceat(rows, begin[some], axis=0)
-        bound *= np.float32(1.0001)  # no rounding may hide a block
-        lens = self.lens[t]
-        post = spread(self.at[t], lens)
-        place = np.repeat((q * blocks).astype(np.int32), lens)
-        place += self.block[post]
-        weight = self.weight[post]
-        weight *= np.repeat(w, lens)
+        lens = self.blocks_of[t]
+        entry = spread(self.at[t], lens)
+        place = np.repeat(np.repeat(np.arange(n) * blocks, np.diff(begin)), lens)
+        place += self.block[entry]
+        factor = np.repeat(w, lens)
+        # no rounding may hide a block
+        bound = np.bincount(place, weights=self.top[entry] * factor, minlength=n * blocks).reshape(n, blocks) * 1.000001
+        self.all += int(self.lens[t].sum())
         # the best blocks first, for a k-th best cosine to compare bounds with
         some = min(FIRST, blocks)
         best = np.argpartition(-bound, some - 1, axis=1)[:, :some] + np.arange(n)[:, None] * blocks
         visit = np.zeros(n * blocks, bool)
         visit[best.reshape(-1)] = True
-        q, b, score = self._scores(visit, place, post, weight, leave, group)
+        q, b, score = self._scores(visit, place, entry, factor, leave, group)
         per_query = score.reshape(n, -1)
         least = -np.partition(-per_query, k - 1, axis=1)[:, k - 1] if per_query.shape[1] >= k else np.zeros(n)
         least = np.maximum(least, 1e-12)
         found = [self._from(q, b, score, least)]
-        rest = (bound >= (least * 0.9999).astype(np.float32)[:, None]).reshape(-1) & ~visit
-        found.append(self._from(*self._scores(rest, place, post, weight, leave, group), least))
+        rest = (bound >= least[:, None] * 0.999999).reshape(-1) & ~visit
+        found.append(self._from(*self._scores(rest, place, entry, factor, leave, group), least))
         qs, es, ss = (np.concatenate(x) for x in zip(*found))
         order = np.lexsort((es, -ss, qs))
         qs, es, ss = qs[order], es[order], ss[order]
         keep = np.arange(qs.size) - np.searchsorted(qs, np.arange(n))[qs] < k
         return qs[keep], es[keep], ss[keep]
 
-    def _scores(self, visit, place, post, weight, leave, group):
-        """Query, block and exact cosines of all visits (visit: query times blocks + block); 0 for what a query leaves out."""
+    def _scores(self, visit, place, entry, factor, leave, group):
+        """Query, block and exact cosines of all visits (visit: query times blocks + block); 0 for what a query leaves out. Only postings in visited blocks are read."""
         go = np.nonzero(visit[place])[0]
+        lens = self.size[entry[go]]
+        post = spread(self.first[entry[go]], lens)
+        self.read += post.size
         slot = np.cumsum(visit, dtype=np.int32)
-        cell = slot[place[go]]
-        cell -= 1
-        cell *= BLOCK
-        cell += self.inside[post[go]]
+        cell = np.repeat((slot[place[go]] - 1) * BLOCK, lens)
+        cell += self.inside[post]
         q, b = np.divmod(np.nonzero(visit)[0], self.blocks)
-        score = np.bincount(cell, weights=weight[go], minlength=q.size * BLOCK).reshape(-1, BLOCK)
+        score = np.bincount(cell, weights=self.weight[post] * np.repeat(factor[go], lens), minlength=q.size * BLOCK).reshape(-1, BLOCK)
         if leave is not None and q.size:
             score[group.reshape(-1, BLOCK)[b] == leave[q][:, None]] = 0
         return q, b, score
@@ -327,14 +331,21 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", examples: int = EXAMPLES) -> Model:
-    """The model. To the driver come at most sum(PASSAGES) passages of at most PASSAGE words each, their terms' frequencies, and 2 * examples raw scores."""
+    """The model. To the driver come about sum(PASSAGES) passages of at most PASSAGE words each, their terms' frequencies, and sizes and raw scores of 2 * examples documents."""
     spark = docs.sparkSession
     small_batches(spark)
     sample = cut(sample_labelled(docs, labels, label, learn, examples))
     profile = sample.mapInArrow(_profile, "doc_id bigint, label int, number int, terms array<bigint>, counts array<int>").where("size(terms) > 0")
     profile = cut(profile.withColumn("h", F.xxhash64("doc_id", "number")))
-    some = [profile.where(f"label = {k}").orderBy("h", "doc_id", "number").limit(n) for k, n in enumerate(PASSAGES)]
-    rows = some[0].unionByName(some[1]).drop("h").toArrow().sort_by([("doc_id", "ascending"), ("number", "ascending")])
+    # whole documents: one row for each of the sample
+    sizes = profile.groupBy("doc_id", "label").agg(F.count("*").alias("n")).withColumn("h", F.xxhash64("doc_id")).collect()
+    chosen = []
+    for k, most in enumerate(PASSAGES):
+        mine = sorted((r for r in sizes if r["label"] == k), key=lambda r: (r["h"], r["doc_id"]))
+        so_far = np.cumsum([r["n"] for r in mine])
+        chosen += [r["doc_id"] for i, r in enumerate(mine) if i == 0 or so_far[i] <= most]
+    some = F.broadcast(spark.createDataFrame([(int(i),) for i in chosen], "doc_id bigint"))  # at most 2 * examples ids
+    rows = profile.join(some, "doc_id").drop("h").toArrow().sort_by([("doc_id", "ascending"), ("number", "ascending")])
     ids, y = rows["doc_id"].to_numpy().astype(np.int64), rows["label"].to_numpy().astype(np.int64)
     flat = lambda c: np.concatenate([np.zeros(0, np.int64), *(x.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for x in rows[c].chunks)])
     lens = np.concatenate([np.zeros(0, np.int64), *(x.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) for x in rows["terms"].chunks)])
@@ -350,7 +361,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
         for r in sums.collect():
             df[r["term"]] = r["n"]
     total = docs.count()
-    good = (df >= MIN_SHARE * total) & (df <= max(MAX_SHARE * total, 2))
+    good = (df >= MIN_DOCS) & (df <= max(MAX_SHARE * total, MIN_DOCS))
     model = Model(terms[good], np.log((total + 1) / (df[good] + 1)) + 1e-3)
     place = np.full(every.size, -1, np.int64)
     place[np.nonzero(candidate)[0][good]] = np.arange(int(good.sum()))

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 from itertools import combinations, product
 
+import pytest
 from pyspark.sql import functions as F
 from quillgrid.llm import mixing as M
 
@@ -132,11 +133,12 @@ def test_texts_that_several_sources_hold_go_where_they_are_needed(spark, monkeyp
             goal[by_id[r.doc_id][2]] = r.target
         assert r.taken in (0, r.size, 2 * r.size)
     assert all(abs(took[s] - goal[s]) <= 60 for s in ("x", "y"))
-    for limit in ("BROADCAST_TEXTS", "MAX_PATTERNS"):
-        monkeypatch.setattr(M, limit, 0)
-        again = sorted(M.mixture(df).collect(), key=str)
-        assert again == want or limit == "MAX_PATTERNS"
-        assert sum(r.taken for r in again) - sum(r.taken for r in want) <= 120
+    with monkeypatch.context() as m:
+        m.setattr(M, "MAX_PATTERNS", 0)  # more patterns than the driver may hold are an error, not another mix
+        with pytest.raises(ValueError, match="more than 0 patterns"):
+            M.mixture(df)
+    monkeypatch.setattr(M, "BROADCAST_TEXTS", 0)
+    assert sorted(M.mixture(df).collect(), key=str) == want
     copies = Counter(r.doc_id for r in M.mixed_documents(df).collect())
     assert copies == Counter({r.doc_id: r.taken // r.size for r in M.mixture(df).collect() if r.taken and r.doc_id is not None}) + Counter({None: copies[None]})
 

@@ -100,7 +100,7 @@ def test_toxicity_scores_against_brute_force(labelled):
             at = np.nonzero(model.look.terms == h[0])[0]
         if at.size:
             names[x] = int(at[0])
-            assert toxicity.MIN_SHARE * size <= seen[x] <= toxicity.MAX_SHARE * size and np.isclose(model.idf[at[0]], math.log((size + 1) / (seen[x] + 1)) + 1e-3)
+            assert toxicity.MIN_DOCS <= seen[x] <= max(toxicity.MAX_SHARE * size, toxicity.MIN_DOCS) and np.isclose(model.idf[at[0]], math.log((size + 1) / (seen[x] + 1)) + 1e-3)
     assert len(names) == model.idf.size
     for doc_id in list(texts)[::9]:
         best = (-1.0,)
