@@ -53,6 +53,17 @@ def keep_last(df: DataFrame, by: Sequence[str], order: str, n: int = 1) -> DataF
     return df.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(F.col(order).desc()))).where(f"_k <= {n}").drop("_k")
 
 
+def superseded(df: DataFrame, by: Sequence[str], order: str, n: int = 1) -> DataFrame:
+    """The rows of each group beyond its n latest, from one pass: what a cleanup that keeps those deletes."""
+    return df.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(F.col(order).desc()))).where(f"_k > {n}").drop("_k")
+
+
+def by_status(df: DataFrame, status: str, good: str = "success") -> tuple[DataFrame, DataFrame]:
+    """(rows with the good status, without that column, so that they can be used again; all others, those without a status among them)."""
+    ok = F.col(status).eqNullSafe(good)
+    return df.where(ok).drop(status), df.where(~ok)
+
+
 def orphans(df: DataFrame, key: str, *others: tuple[DataFrame, str]) -> DataFrame:
     """Rows that none of the other tables refers to."""
     return reduce(lambda d, o: d.join(o[0].select(F.col(o[1]).alias(key)).distinct(), key, "left_anti"), others, df)

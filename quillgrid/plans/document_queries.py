@@ -116,6 +116,35 @@ def line_features(spark, sf_dir):
     return f.select("id", F.round("avg_horiz_line_length", 6).alias("avg_h"), F.round("vert_line_y_max_std", 6).alias("std_v"), F.col("horiz_char_count").alias("n_h"))
 
 
+def _features_sql() -> str:
+    one = []
+    for name, orient, length in (("horiz", "H", "x_max - x_min"), ("vert", "V", "y_max - y_min")):
+        only = lambda c, o=orient: f"CASE WHEN o = '{o}' THEN {c} END"
+        for side in ("x_min", "x_max", "y_min", "y_max"):
+            one.append(("%s_span_%s" % (name, side), f"{side[2:]}({only(side)})"))
+            one.append((f"{name}_line_{side}_mean", f"avg({only(side)})"))
+            one.append((f"{name}_line_{side}_std", f"stddev_pop({only(side)})"))
+        one.append((f"avg_{name}_line_length", f"avg({only(length)})"))
+        one.append((f"std_{name}_line_length", f"stddev_pop({only(length)})"))
+        one.append((f"{name}_char_count", f"count({only('1')})"))
+    return "SELECT id, " + ", ".join(f"round({e}::DOUBLE, 5) AS {n}" for n, e in one) + " FROM b GROUP BY id"
+
+
+@query(
+    """WITH b AS (SELECT l_suppkey AS id, CASE WHEN l_returnflag = 'N' THEN 'H' ELSE 'V' END AS o, l_linenumber * 3 AS x_min, l_linenumber * 3 + l_quantity::INT AS x_max, l_linenumber * 2 AS y_min, l_linenumber * 2 + l_orderkey % 11 AS y_max FROM lineitem) """
+    + _features_sql()
+)
+def line_features_all(spark, sf_dir):
+    """Every feature of the lines of a page, of both directions."""
+    n = F.col("l_linenumber")
+    b = read(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("id"), F.when(F.col("l_returnflag") == "N", "H").otherwise("V").alias("orient"), (n * 3).alias("x_min"),
+        (n * 3 + F.col("l_quantity").cast("int")).alias("x_max"), (n * 2).alias("y_min"), (n * 2 + F.col("l_orderkey") % 11).alias("y_max"),
+    )
+    f = learning.line_features(b, "id")
+    return f.select("id", *(F.round(c, 5).alias(c) for c in f.columns if c != "id"))
+
+
 @query()
 def spark_ml_classify(spark, sf_dir):
     """Held-out rows of the embeddings with the class that a decision tree predicts."""

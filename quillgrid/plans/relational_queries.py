@@ -199,8 +199,28 @@ def having_orphans(spark, sf_dir):
 
 @query("SELECT event_id FROM events e WHERE event_id <> (SELECT max(event_id) FROM events x WHERE x.user_id = e.user_id AND x.event_type = e.event_type) AND ts < TIMESTAMP '2024-01-15'")
 def keep_last_cleanup(spark, sf_dir):
-    e = read(spark, sf_dir, "events")
-    return e.where("ts < TIMESTAMP '2024-01-15'").join(R.keep_last(e, ["user_id", "event_type"], "event_id").select("event_id"), "event_id", "left_anti").select("event_id")
+    return R.superseded(read(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id").where("ts < TIMESTAMP '2024-01-15'").select("event_id")
+
+
+@query(
+    """SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)
+    AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey AND s_acctbal > 0)"""
+)
+def orphans_of_kinds(spark, sf_dir):
+    """Customers without a large order who have no number of a supplier with a balance."""
+    orders, suppliers = read(spark, sf_dir, "orders").where("o_totalprice > 300000"), read(spark, sf_dir, "supplier").where("s_acctbal > 0")
+    return R.orphans(read(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", (orders, "o_custkey"), (suppliers, "s_suppkey"))
+
+
+@query(
+    """SELECT event_id, 'go on' AS way, NULL::VARCHAR AS status FROM events WHERE event_id % 7 <> 0 AND event_type = 'purchase'
+    UNION ALL SELECT event_id, 'stopped', CASE WHEN event_id % 7 <> 0 THEN event_type END FROM events WHERE event_id % 7 = 0 OR event_type <> 'purchase'"""
+)
+def success_failed_rows(spark, sf_dir):
+    """What succeeded goes on without its status; the rest, some of it without a status, stays apart."""
+    e = read(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("status"))
+    good, rest = R.by_status(e, "status", "purchase")
+    return good.select("event_id", F.lit("go on").alias("way"), F.lit(None).cast("string").alias("status")).unionByName(rest.select("event_id", F.lit("stopped").alias("way"), "status"))
 
 
 @query("SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events) WHERE k <= 3")
