@@ -51,6 +51,13 @@ def zipped(a: Column, b: Column, longest: bool) -> Column:
     return both if longest else F.slice(both, 1, F.least(F.size(a), F.size(b)))
 
 
+def zip_checked(a: Column, b: Column, message: str) -> Column:
+    """Pairs by position as structs a, b, error; where the lists aren't as long, one pair without values and an error with both lengths."""
+    wrong = F.struct(F.get(a, F.lit(-1)).alias("a"), F.get(b, F.lit(-1)).alias("b"), F.concat(F.lit(message), F.lit(": "), F.size(a).cast("string"), F.lit(" and "), F.size(b).cast("string")).alias("error"))
+    pairs = F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"), F.lit(None).cast("string").alias("error")))
+    return F.when(F.size(a) == F.size(b), pairs).otherwise(F.array(wrong))
+
+
 def intervals(ts: Column, unit: str) -> tuple[Column, Column]:
     """Start and end of the schedule interval that a time lies in."""
     start = F.date_trunc(unit, ts)

@@ -43,6 +43,12 @@ def positional_merge(a: DataFrame, b: DataFrame, by: Sequence[str], order: str)
     return numbered(a).join(numbered(b), [*by, "pos"], "full")
 
 
+def update_by_position(old: Column, new: Column) -> Column:
+    """Lists of maps merged by position: a later value of a key takes the place of the earlier one; the longer list's rest stays."""
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    return F.zip_with(old, new, lambda a, b: F.map_concat(F.map_filter(F.coalesce(a, empty), lambda k, _: ~F.array_contains(F.map_keys(F.coalesce(b, empty)), k)), F.coalesce(b, empty)))
+
+
 def not_in_log(df: DataFrame, log: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows that no log entry names."""
     return df.join(log.select(*on).distinct(), list(on), "left_anti")

@@ -30,4 +30,4 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from quillgrid.plans import cleansing_queries, control_queries, document_queries, layout_queries, relational_queries, review_queries, stream_queries  # noqa: E402,F401
+from quillgrid.plans import cleansing_queries, control_queries, document_queries, layout_queries, relational_queries, review_queries, stream_queries, work_queries  # noqa: E402,F401

@@ -73,6 +73,17 @@ def replace_rows(stored: DataFrame, new: DataFrame, keys: Sequence[str]) -> Data
     return stored.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+def update_rows(stored: DataFrame, changes: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """stored with `columns` of the rows that `changes` names by keys set to what it has, nulls too: the table's next version. Keys of changes that aren't stored do nothing; several
+    changes of one row are an error."""
+    named = changes.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.struct(*columns).alias("_new"))
+    once = named.groupBy(*(f"_k{i}" for i in range(len(keys)))).agg(F.max("_new").alias("_new"), F.count("*").alias("_n"))
+    once = once.withColumn("_new", F.when(F.col("_n") == 1, F.col("_new")).otherwise(F.raise_error(F.lit("several changes of one row"))))
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    set_ = lambda c: F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
+    return stored.join(once, on, "left").select(*(set_(c) if c in columns else F.col(c) for c in stored.columns))
+
+
 def split_archive(df: DataFrame, gone: Column) -> tuple[DataFrame, DataFrame]:
     """(archive, remainder) for archive-then-delete; null counts as staying."""
     flag = F.coalesce(gone, F.lit(False))
