@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillgrid.operators.relational import work_folder
 from quillgrid.plans.catalogue import query, read
+from quillgrid.sources import archive as A
 from quillgrid.sources import page_source as P
 from quillgrid.sources.transactions import Tables
 from quillgrid.streaming import events as S
@@ -136,3 +140,34 @@ def transactional_insert(spark, sf_dir):
         with tables.transaction(name) as t:
             t.insert("orders", read(spark, sf_dir, "orders").where(F.col("o_orderkey") % 2 == rest).select("o_orderkey", "o_custkey"), key="pk", order=["o_orderkey"])
     return tables.read("orders")
+
+
+@query(
+    """WITH p AS (SELECT s_nationkey AS doc, count(*) AS n FROM supplier GROUP BY s_nationkey), d AS (SELECT n_nationkey AS doc, CASE WHEN n_nationkey % 4 > 0 THEN n_regionkey END AS class, n_name FROM nation WHERE n_nationkey % 5 > 0)
+    SELECT row_number() OVER (ORDER BY d.doc) AS complete_id, d.doc AS doc_id, coalesce(class::VARCHAR, '0') || '_' || d.doc || '/' || n_name || '.pdf' AS path, coalesce(n, 0)::INT AS pages, 2 AS files FROM d LEFT JOIN p ON p.doc = d.doc
+    UNION ALL SELECT NULL, n_nationkey, n_nationkey || '/' || n_name || '.pdf', 0, 2 FROM nation WHERE n_nationkey % 5 = 0"""
+)
+def archived_documents(spark, sf_dir):
+    """Nations as documents with a page per supplier: done ones with their pages and rows, every fifth as failed; run twice. What lies in
+    the folders is counted, but for page images: their names begin with `_`, which listings leave out."""
+    work, day = work_folder(spark), datetime.date(2024, 5, 6)
+    n = read(spark, sf_dir, "nation").withColumn("doc_id", F.col("n_nationkey"))
+    P.write_files(n.select(F.concat("n_name", F.lit(".pdf")).alias("name"), F.encode("n_name", "UTF-8").alias("content")), f"{work}/in")
+    origin = F.concat(F.lit(f"{work}/in/"), "n_name", F.lit(".pdf"))
+    docs = n.select("doc_id", F.when(F.col("n_nationkey") % 4 > 0, F.col("n_regionkey")).alias("doc_class_id"), origin.alias("origin"), F.to_json(F.struct("n_name")).alias("info"))
+    s = read(spark, sf_dir, "supplier")
+    number = F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey"))
+    pages = s.select(F.col("s_nationkey").alias("doc_id"), number.alias("page_num"), F.encode("s_name", "UTF-8").alias("image"))
+    tables, good = Tables(spark, f"{work}/tables"), docs.where("doc_id % 5 > 0")
+    done = None
+    for _ in range(2):
+        done = A.complete(tables, good, pages, f"{work}/done", day, "run-1")
+        A.fail(docs.where("doc_id % 5 = 0"), f"{work}/failed", day)
+    spark.dataSource.register(P.PageSource)
+    found = spark.read.format("pages").option("path", work).load().where("path LIKE '%/2024/05/06/%'")
+    counts = found.groupBy(F.regexp_extract("path", "/2024/05/06/([^/]*)/", 1).alias("folder")).agg(F.count("*").alias("files"))
+    path = lambda c: F.regexp_extract(F.get_json_object(c, "$.doc_path._originfile"), "/2024/05/06/(.*)$", 1)
+    rows = done.select("complete_id", "doc_id", path("content").alias("path"), F.size(F.from_json(F.get_json_object("content", "$.page_infos"), "array<map<string,string>>")).alias("pages"))
+    failed = found.where("path LIKE '%.json' AND path LIKE '%/failed/%'").select(F.decode("image", "UTF-8").alias("c"))
+    rows = rows.unionByName(failed.select(F.lit(None).cast("bigint").alias("complete_id"), F.get_json_object("c", "$.file_id").cast(n.schema["doc_id"].dataType).alias("doc_id"), path("c").alias("path"), F.lit(0).alias("pages")))
+    return rows.join(counts, F.regexp_extract("path", "^([^/]*)/", 1) == F.col("folder")).select("complete_id", "doc_id", "path", "pages", "files")

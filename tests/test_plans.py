@@ -9,7 +9,7 @@ import __spark_entry__
 SF = "/root/testdata/sf0.001"
 #: Queries that run Python on the executors: fuzzy scores, pixels, per-run state.
 PYTHON = {"block_separation", "complete_map_workbooks", "document_run", "contain_check_score", "image_steps", "line_angles"}
-STREAMS = {"stream_dedup", "file_arrival", "stream_state_machine", "exactly_once_intake", "run_state_moves", "page_intake", "page_intake_stream", "transactional_insert", "translation_with_hook"}
+STREAMS = {"stream_dedup", "file_arrival", "stream_state_machine", "exactly_once_intake", "run_state_moves", "page_intake", "page_intake_stream", "transactional_insert", "translation_with_hook", "archived_documents"}
 CORE = [k for k in __spark_entry__.queries() if not k.startswith("op") and k != "pipeline" and k not in STREAMS]
 
 
