@@ -12,6 +12,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from quillgrid.functions.params import typed
+
 WHITE = 255
 #: Luma weights for blue, green, red. Fixed values.
 LUMA = np.array([0.114, 0.587, 0.299])
@@ -285,7 +287,7 @@ def step(img: np.ndarray, name: str, params: dict, found: dict[str, float]) -> n
     if name in measure.MEASURES:
         params = {k: v for k, v in params.items() if k != "iter_save"}
         key = params.pop("angle_key")
-        angle = measure.MEASURES[name](img, **params)
+        angle = measure.MEASURES[name](img, **typed(measure.MEASURES[name], params))
         found[f"angle_{key}"] = float(angle)
         return rotate(img, angle) if angle else img
     if name == "calc_padding_set2":
@@ -296,7 +298,8 @@ def step(img: np.ndarray, name: str, params: dict, found: dict[str, float]) -> n
     if name == "rotate" and "angle_keys" in params:
         return rotate(img, sum(found.get(f"angle_{k}", 0.0) for k in params["angle_keys"]))
     own = {"canny": measure.canny, "denoising": measure.like_patches, "denoising1": measure.like_patches}
-    return (own[name] if name in own else STEPS[name])(img, **params)
+    f = own[name] if name in own else STEPS[name]
+    return f(img, **typed(f, params))
 
 
 #: Steps of functions.measure.

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from quillgrid.functions import imaging as I
+from quillgrid.functions.params import typed
 
 BLOCK = "block_id string, x int, y int, w int, h int, child int, height int, width int, channels int, data binary"
 #: Turns of the line search (a queue's end counts as one); what is left then stays as it is.
@@ -131,7 +132,7 @@ def cut(block: Block, steps: Sequence[tuple[str, dict]]) -> list[Block]:
     """The steps on one block: what has children stays as it is, every leaf goes on to the next step. Unknown steps are skipped."""
     for i, (name, params) in enumerate(steps):
         if name in STEPS:
-            made = STEPS[name](block, **params)
+            made = STEPS[name](block, **typed(STEPS[name], params))
             if len(made) > 1:
                 return [x for b in made for x in ([b] if b.child else cut(b, steps[i + 1 :]))]
     return [block]

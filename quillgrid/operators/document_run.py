@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgrid.functions import imaging as I
+from quillgrid.functions.params import typed
 from quillgrid.operators import assembly, blocks, relational
 
 #: From the images of a section's leaves to (text, confidence) of each.
@@ -36,10 +37,10 @@ class Section:
 
 def section_leaves(img: np.ndarray, section: Section, recognise: Recognise) -> list[tuple]:
     """Rows of LEAVES of one section of a page; x and y are the page's."""
-    x0, y0, x1, y1 = I.area_box(img.shape, **section.area)
+    x0, y0, x1, y1 = I.area_box(img.shape, **typed(I.area_box, section.area))
     part = img[y0:y1, x0:x1]
     for name, params in section.prepare:
-        part = I.STEPS[name](part, **params)
+        part = I.step(part, name, params, {})
     made = blocks.cut(blocks.Block(section.name, (x0, y0, part.shape[1], part.shape[0]), part), section.separate)
     leaves = [b for b in made if b.child == 0]
     return [(section.name, b.name, *map(int, b.box), text, float(sure)) for b, (text, sure) in zip(leaves, recognise([b.img for b in leaves]), strict=True)]
@@ -48,7 +49,7 @@ def section_leaves(img: np.ndarray, section: Section, recognise: Recognise) -> l
 def leaves(pages: DataFrame, sections: Sequence[Section], recognise: Recognise, keep: Sequence[str] = ("doc_id", "page_num")) -> DataFrame:
     """keep and LEAVES for each page row (columns of imaging.IMAGE). Unknown steps are an error before anything runs; a page without pixels has no leaves."""
     for s in sections:
-        unknown = [n for n, _ in s.prepare if n not in I.STEPS] + [n for n, _ in s.separate if n not in blocks.STEPS]
+        unknown = [n for n, _ in s.prepare if n not in I.STEPS and n not in I.MEASURING] + [n for n, _ in s.separate if n not in blocks.STEPS]
         if unknown:
             raise ValueError(f"section {s.name} has unknown steps: {', '.join(unknown)}")
     names = [c.split()[0] for c in LEAVES.split(", ")]

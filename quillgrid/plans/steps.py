@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from quillgrid.functions.params import typed
+
 
 @dataclass(frozen=True)
 class Step:
@@ -15,9 +17,6 @@ class Step:
     param: Mapping = field(default_factory=dict)
 
 
-CASTS = {"int": int, "float": float, "str": str, "bool": lambda v: str(v).lower() in ("1", "true", "y", "yes")}
-
-
 @dataclass
 class Registry:
     """Functions (DataFrame, **param) -> DataFrame by name, with the types their parameters are read as."""
@@ -41,7 +40,7 @@ class Registry:
                 df = cache[step.param["key"]]
             elif step.name in self.functions:
                 f, types = self.functions[step.name]
-                df = f(df, **{k: CASTS[types[k]](v) if k in types else v for k, v in step.param.items()})
+                df = f(df, **typed(f, step.param, types))
             else:
                 warnings.warn(f"unknown step {step.name}", stacklevel=2)
         return df
