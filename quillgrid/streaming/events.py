@@ -82,5 +82,6 @@ def moves_by_stream(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
     out = None
     for _ in (None, *runs.marks(spark, f"{work}/marks", later)):
         closing = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{work}/marks")
-        out = to_end(runs.run_states(reports.unionByName(closing), limit, "10 minutes"), "append", work)
+        with runs.state_store(spark):
+            out = to_end(runs.run_states(reports.unionByName(closing), limit, "10 minutes"), "append", work)
     return out

@@ -6,6 +6,7 @@ Reports are kept until the watermark has passed them and then applied in the ord
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -95,10 +96,19 @@ class RunStates(StatefulProcessor):
         pass
 
 
+@contextmanager
+def state_store(spark: SparkSession):
+    """The state store that timers need, for queries that are started meanwhile (a query keeps the one that it was begun with); the session's own setting comes back."""
+    before = spark.conf.get(_STORE, None)
+    spark.conf.set(_STORE, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_STORE) if before is None else spark.conf.set(_STORE, before)
+
+
 def run_states(reports: DataFrame, limit: int, late: str) -> DataFrame:
-    """The moves (MOVED) of a stream of run_id, ts, at (ts in microseconds), event_id and status. `limit`: microseconds that a run may be busy."""
-    spark = reports.sparkSession
-    spark.conf.set(_STORE, _ROCKS)  # what this operator needs; a query keeps the store that it was begun with
+    """The moves (MOVED) of a stream of run_id, ts, at (ts in microseconds), event_id and status. `limit`: microseconds that a run may be busy. To be started within state_store()."""
     timed = reports.withWatermark("ts", late)
     return timed.groupBy("run_id").transformWithStateInPandas(RunStates(limit), MOVED, "Append", "EventTime")
 

@@ -88,4 +88,8 @@ def test_states_do_not_depend_on_the_way_reports_arrive(spark, tmp_path, cuts):
 
 def _moves(spark, folder, limit):
     df = spark.readStream.schema("run_id bigint, ts timestamp, at bigint, event_id bigint, status string").option("recursiveFileLookup", "true").parquet(f"{folder}/in")
-    return to_end(runs.run_states(df, limit, "0 seconds"), "append", f"{folder}/work")
+    before = spark.conf.get(runs._STORE)
+    with runs.state_store(spark):
+        out = to_end(runs.run_states(df, limit, "0 seconds"), "append", f"{folder}/work")
+    assert spark.conf.get(runs._STORE) == before
+    return out
