@@ -11,8 +11,8 @@ from quillgrid.operators.structuring import MULTI_ROW
 
 
 def correct(blocks: DataFrame, template: DataFrame, common: Column, block_fixes: DataFrame | None = None) -> DataFrame:
-    """blocks with their text cleansed: white space and stray characters go, the common dictionary is applied, then the dictionary of the block that the place
-    stands for. block_fixes: section, row, col (of the template), error, correct. A repeated row uses the dictionary of the value row that it repeats."""
+    """blocks with their text cleansed: white space and stray characters go, the common dictionary is applied (it may depend on columns of blocks, as the
+    section), then the dictionary of the block that the place stands for. block_fixes: section, row, col (of the template), error, correct. A repeated row uses the dictionary of the value row that it repeats."""
     clean = T.apply_dictionary(T.sanitize_text(T.remove_whitespace(F.col("text"))), common)
     blocks = blocks.withColumn("text", clean)
     if block_fixes is None:
