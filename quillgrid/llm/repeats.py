@@ -350,7 +350,11 @@ def _binned(data, start, n, off, ids, into, level: int, out: np.ndarray, equal:
 
 
 def _settle(data, start, n, into, ids, which, key, out) -> None:
-    """Orders the suffixes of the pieces `which` (sorted by their key), key by key, and puts the smallest ids into out."""
+    """Orders the suffixes of the pieces `which` (sorted by their key), key by key, and puts the smallest ids into out.
+
+    A piece that is alone with its key needs no order: equal windows have equal anchors at the same place, so no two windows of one piece are equal."""
+    first = np.concatenate([[True], key[which][1:] != key[which][:-1]])[: which.size]
+    which = which[~(first & np.append(first[1:], True)[: which.size])]
     if not which.size:
         return
     size = n[which] + WINDOW - 1

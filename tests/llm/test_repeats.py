@@ -144,3 +144,20 @@ def test_smallest_ids_of_windows():
                 found[raw[s : s + 50]] = min(found.get(raw[s : s + 50], 9999), i)
         want = [found[rows[k][0][s : s + 50]] for k in one for s in range(rows[k][1])]
         assert got.tolist() == want
+
+
+def test_single_pieces_are_not_ordered(monkeypatch):
+    """Copies are one piece of their anchor, which no order can tell anything; only pieces that differ are ordered."""
+    texts = []
+
+    def counted(codes, lengths):
+        texts.append(lengths.size)
+        return suffix_orders(codes, lengths)
+
+    monkeypatch.setattr(repeats, "suffix_orders", counted)
+    rng = np.random.default_rng(5)
+    some = ["".join(rng.choice(list("abcdefgh "), 300)) for _ in range(6)]
+    rows = [(i, t) for i, t in enumerate(some * 3)]
+    assert sorted(through(rows)[0]) == sorted(plain(rows)) and not texts
+    rows += [(100, some[0][:150] + "X" + some[0][151:]), (101, "ab" * 120), (102, "a" * 200)]
+    assert sorted(through(rows)[0]) == sorted(plain(rows)) and texts
