@@ -63,6 +63,18 @@ def segment_merge_lengths(spark, sf_dir):
     return m.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.round(F.avg("length"), 6).alias("mean_length"), F.round(F.stddev_pop("length"), 6).alias("std_length"))
 
 
+# The same with one place for each of several equal segments, so that both windows of the SQL take them in one order.
+query(
+    """WITH s AS (SELECT l_orderkey, l_linenumber * 12.0 AS a, l_linenumber * 12.0 + l_quantity % 9 AS b, (l_linenumber % 2) * 20.0 AS y FROM lineitem),
+    k AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY y, a, b) AS k FROM s),
+    m AS (SELECT *, CASE WHEN abs(y - lag(y) OVER w) <= 5 AND a - lag(b) OVER w <= 10 AND a >= lag(a) OVER w THEN 0 ELSE 1 END AS new FROM k WINDOW w AS (PARTITION BY l_orderkey ORDER BY k)),
+    i AS (SELECT *, sum(new) OVER (PARTITION BY l_orderkey ORDER BY k ROWS UNBOUNDED PRECEDING) AS seg FROM m),
+    g AS (SELECT l_orderkey, seg, max(b) - min(a) AS length FROM i GROUP BY l_orderkey, seg)
+    SELECT l_orderkey, count(*) AS n, round(avg(length), 6) AS mean_length, round(stddev_pop(length), 6) AS std_length FROM g GROUP BY l_orderkey""",
+    name="segment_merge_lengths_total",
+)(segment_merge_lengths)
+
+
 @query(
     """WITH t AS (SELECT l_orderkey, max(l_linenumber) AS needed FROM lineitem GROUP BY l_orderkey), k AS (SELECT unnest(range(0, 10)) AS k), r AS (SELECT unnest([2, 3]) AS r)
     SELECT l_orderkey, 1::INT AS row, 'key' AS cell_type, 0::INT AS repeat FROM t
