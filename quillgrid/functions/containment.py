@@ -47,8 +47,10 @@ class Keys:
         self.p = np.array([max(int(n) - 1, 0).bit_length() for n in self.n], np.int64)
         self.top = self.p * (self.p + 1) / 2
         self.scale = self.n * self.top - (self.top - self.p - 1) * (self.p - 1)
-        #: By size: the sorted codes of its substrings, how many names the halves have, and which keys hold them, as a table or as lists.
-        self.levels: list[tuple[np.ndarray, int, np.ndarray | None, np.ndarray, np.ndarray]] = []
+        #: What the substrings that start at one place weigh together is at most `top`.
+        self.wide = np.uint8 if self.top.max(initial=0) < 1 << 8 else np.uint16
+        #: By size: the sorted codes of its substrings, how many names the halves have, and which keys hold them, as tables (whether, and with what weight) or as lists.
+        self.levels: list[tuple[np.ndarray, int, np.ndarray | None, np.ndarray | None, np.ndarray, np.ndarray]] = []
         names, size, halves = full, 1, 0
         while any(k.size for k in names):
             codes = names if size == 1 else [k[: -size // 2] * halves + k[size // 2 :] for k in names]
@@ -56,11 +58,12 @@ class Keys:
             vocabulary, name = np.unique(np.concatenate(codes), return_inverse=True)
             pairs = np.unique((name + 1) * len(full) + owner)
             word, key = np.divmod(pairs, len(full))
-            held = None
+            held = weighed = None
             if (vocabulary.size + 1) * len(full) <= CELLS:
                 held = np.zeros((vocabulary.size + 1, len(full)), np.uint8)
                 held[word, key] = 1
-            self.levels.append((vocabulary, halves, held, np.searchsorted(word, np.arange(vocabulary.size + 2)), key))
+                weighed = (held * (self.p - len(self.levels))).astype(self.wide)
+            self.levels.append((vocabulary, halves, held, weighed, np.searchsorted(word, np.arange(vocabulary.size + 2)), key))
             names = np.split(name + 1, np.cumsum([k.size for k in codes])[:-1])
             halves, size = vocabulary.size + 1, size * 2
             names = [k if k.size > size // 2 else k[:0] for k in names]
@@ -86,32 +89,30 @@ class Keys:
         return out
 
     def _block(self, found: list, length: int, a: int, z: int) -> np.ndarray:
-        seen, log = np.zeros((length, z - a), np.uint8), np.zeros((length, z - a), np.uint16)
-        for j, ((at, name), (_, _, held, first, key)) in enumerate(zip(found, self.levels)):
+        n, p, top, scale = self.n[a:z], self.p[a:z], self.top[a:z], self.scale[a:z]
+        seen, weight = np.zeros((length, z - a), np.uint8), np.zeros((length, z - a), self.wide)
+        for j, ((at, name), (_, _, held, weighed, first, key)) in enumerate(zip(found, self.levels)):
             if held is not None:
-                more = held[name] if z - a == held.shape[1] else held[name, a:z]
                 where = slice(None) if at.size == length else at
-                seen[where] += more
-                if j:
-                    log[where] += more * np.uint8(j)
+                for sums, table in ((seen, held), (weight, weighed)):
+                    sums[where] += table.take(name, 0) if z - a == table.shape[1] else table[name, a:z]
             else:
                 many = first[name + 1] - first[name]
                 k = key[np.arange(many.sum()) + np.repeat(first[name] - np.cumsum(many) + many, many)]
                 i, k = np.repeat(at, many)[(k >= a) & (k < z)], k[(k >= a) & (k < z)] - a
                 seen[i, k] += 1
-                log[i, k] += j
-        seen, log = np.ascontiguousarray(seen.T), np.ascontiguousarray(log.T)
-        n, p, top, scale = self.n[a:z], self.p[a:z], self.top[a:z], self.scale[a:z]
+                weight[i, k] += (p[k] - j).astype(self.wide)
+        seen, weight = np.ascontiguousarray(seen.T), np.ascontiguousarray(weight.T)
         match, density = np.zeros(z - a), np.zeros(z - a)
         good = n >= 2
         for g in range(1, int(seen.max()) + 1):
-            count = np.count_nonzero(seen == g, axis=1)
+            count = np.bitwise_count(np.packbits(seen == g, axis=1)).sum(axis=1, dtype=np.int64)
             some = good & (count > 0)
             match[some] += np.minimum(g * (1 - (1 - g / p[some]) ** (count[some] + 1)), g) / top[some]
-        run = np.zeros(length + 1, np.int64)
+        run = np.zeros((z - a, length + 1), np.int32 if length * int(top.max(initial=0)) < 1 << 31 else np.int64)
+        np.cumsum(weight, axis=1, dtype=run.dtype, out=run[:, 1:])
         for k in np.nonzero(good & (n <= length) & (scale != 0))[0].tolist():
-            np.cumsum(seen[k] * p[k] - log[k], out=run[1:])
-            density[k] = (run[n[k] :] - run[: run.size - n[k]]).max() / scale[k]
+            density[k] = (run[k, n[k] :] - run[k, : length + 1 - n[k]]).max() / scale[k]
         both = 0.6 * match + 0.6 * density
         return np.where(good, np.where(both > 1, np.minimum(0.6 * match + 0.4 * density, 1.0), both), 0.0)
 
