@@ -65,8 +65,8 @@ def join_words(df: DataFrame, by: Sequence[str], text: str, left: str, width: st
 
 
 def merge_segments(df: DataFrame, by: Sequence[str], start: str, end: str, level: str, gap: float = 10, slack: float = 5) -> DataFrame:
-    """Segments joined with the one before when the level differs by at most `slack` and the gap by at most `gap`: start, end, length."""
-    along = Window.partitionBy(*by).orderBy(level, start, end)
+    """Segments joined with the one before when the level differs by at most `slack` and the gap by at most `gap`: start, end, length. Missing values come last."""
+    along = Window.partitionBy(*by).orderBy(*(F.col(c).asc_nulls_last() for c in (level, start, end)))
     new = (F.abs(F.col(level) - F.lag(level).over(along)) > slack) | (F.col(start) - F.lag(end).over(along) > gap) | (F.col(start) < F.lag(start).over(along))
     df = df.withColumn("_new", F.coalesce(new, F.lit(True)))
     df = df.withColumn("segment", _gap_sum(F.col("_new"), along))
